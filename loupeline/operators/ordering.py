@@ -100,3 +100,11 @@ def hash_rank(df: DataFrame, group: Sequence[str], token: Column, name: str = "r
 def seeded(seed: object, *parts: Column) -> Column:
     """Token ``seed:part:part`` for ``hash_rank`` and the hash split."""
     return F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts])
+
+
+def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[Column], columns: dict[str, str]) -> DataFrame:
+    """``lag`` over a group of any size: ``columns = {output: input}`` taken from the preceding row."""
+    ranked = rank_within(df, group, order, "_rank")
+    before = ranked.select(*group, (F.col("_rank") + 1).alias("_rank"),
+                           *[F.col(source).alias(output) for output, source in columns.items()])
+    return ranked.join(before, [*group, "_rank"], "left").drop("_rank")
