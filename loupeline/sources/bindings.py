@@ -107,3 +107,78 @@ CONTENTS = """con AS (
   SELECT d.doc_id AS sample_id, d.lang AS category, d.source AS batch_id, sha256(d.text) AS sha256, d.n_chars,
     CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.toxic = 1 THEN 'NG' ELSE 'OK' END AS truth
   FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+
+
+def gt_runs(t) -> DataFrame:
+    """Ground-truth runs: two rectangles per NG order."""
+    k = F.col("o_orderkey")
+
+    def rect(x0, y0, w, h):
+        return F.struct(x0.cast("int").alias("x0"), y0.cast("int").alias("y0"), (x0 + w - 1).cast("int").alias("x1"),
+                        (y0 + h - 1).cast("int").alias("y1"))
+
+    rects = F.array(rect(k * 37 % 70, k * 11 % 44, 4 + k % 11, 3 + k % 7), rect(k * 53 % 80, k * 29 % 54, 2 + k % 5, 2 + k % 4))
+    ng = t.orders.filter("o_orderstatus = 'F'").select(k.alias("sample_id"), F.col("o_orderpriority").alias("category"),
+                                                       F.inline(rects))
+    return ng.select("sample_id", "category", F.explode(F.sequence("y0", "y1")).alias("y"), "x0", "x1")
+
+
+GT_RECTS = """gtr AS (
+  SELECT o_orderkey AS sample_id, o_orderpriority AS category, (o_orderkey * 37) % 70 AS x0, (o_orderkey * 11) % 44 AS y0,
+    (o_orderkey * 37) % 70 + 3 + o_orderkey % 11 AS x1, (o_orderkey * 11) % 44 + 2 + o_orderkey % 7 AS y1
+  FROM orders WHERE o_orderstatus = 'F' UNION ALL
+  SELECT o_orderkey, o_orderpriority, (o_orderkey * 53) % 80, (o_orderkey * 29) % 54,
+    (o_orderkey * 53) % 80 + 1 + o_orderkey % 5, (o_orderkey * 29) % 54 + 1 + o_orderkey % 4
+  FROM orders WHERE o_orderstatus = 'F')"""
+
+
+def instance_rects(t) -> DataFrame:
+    """One detected instance per line item, near the order's first defect, with a confidence."""
+    k, p, s, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    x0 = F.greatest(F.lit(0), k * 37 % 70 + p % 9 - 4).cast("int")
+    y0 = F.greatest(F.lit(0), k * 11 % 44 + s % 7 - 3).cast("int")
+    conf = ((p * 31 + s * 17 + n * 101) % 1000).cast("double") / F.lit(1000.0)
+    inst = F.concat_ws("-", p.cast("string"), s.cast("string"), n.cast("string"), F.col("l_quantity").cast("int").cast("string"))
+    rects = t.lineitem.select(k.alias("sample_id"), inst.alias("inst"), conf.alias("conf"), x0.alias("x0"), y0.alias("y0"),
+                              (x0 + 2 + (p % 12)).cast("int").alias("x1"), (y0 + 1 + n).cast("int").alias("y1"))
+    category = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderpriority").alias("category"))
+    return rects.join(category, "sample_id")
+
+
+def instance_runs(t) -> DataFrame:
+    return instance_rects(t).select("sample_id", "category", "inst", "conf", F.explode(F.sequence("y0", "y1")).alias("y"),
+                                    "x0", "x1")
+
+
+INSTANCES = """ins0 AS (
+  SELECT l_orderkey AS sample_id, o_orderpriority AS category,
+    concat_ws('-', l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS BIGINT)) AS inst,
+    ((l_partkey * 31 + l_suppkey * 17 + l_linenumber * 101) % 1000)::DOUBLE / 1000.0::DOUBLE AS conf,
+    greatest(0, (l_orderkey * 37) % 70 + l_partkey % 9 - 4) AS x0, greatest(0, (l_orderkey * 11) % 44 + l_suppkey % 7 - 3) AS y0,
+    l_partkey % 12 AS w, l_linenumber AS h
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+ins AS (SELECT sample_id, category, inst, conf, x0, y0, x0 + 2 + w AS x1, y0 + 1 + h AS y1 FROM ins0)"""
+
+# One ROI rectangle per category (x from, y from, x to, y to); a category left out is inspected in full.
+ROI_RECTS = {"1-URGENT": (10, 3, 80, 58), "3-MEDIUM": (30, 3, 80, 58), "4-NOT SPECIFIED": (40, 3, 80, 58), "5-LOW": (50, 3, 80, 58)}
+
+
+def roi_runs(t) -> DataFrame:
+    frame = t.spark.createDataFrame([(c, *r) for c, r in ROI_RECTS.items()], "category string, x0 int, y0 int, x1 int, y1 int")
+    return frame.select("category", F.explode(F.sequence("y0", "y1")).alias("y"), "x0", "x1")
+
+
+ROI = "roi(category, rx0, ry0, rx1, ry1) AS (VALUES " + ", ".join(
+    f"('{c}', {', '.join(map(str, r))})" for c, r in ROI_RECTS.items()) + ")"
+
+
+def clipped_sql(source: str, name: str) -> str:
+    """Rectangles of ``source`` cut to the ROI, where there is one."""
+    return f"""{name} AS (SELECT * FROM (SELECT s.* EXCLUDE (x0, y0, x1, y1), greatest(x0, coalesce(rx0, x0)) AS x0,
+    greatest(y0, coalesce(ry0, y0)) AS y0, least(x1, coalesce(rx1, x1)) AS x1, least(y1, coalesce(ry1, y1)) AS y1
+  FROM {source} s LEFT JOIN roi ON roi.category = s.category) WHERE x0 <= x1 AND y0 <= y1)"""
+
+
+def pixels_sql(rects: str, name: str, where: str = "true") -> str:
+    return f"""{name} AS (SELECT DISTINCT sample_id, category, y, x FROM (SELECT sample_id, category, x0, x1,
+    unnest(generate_series(y0, y1)) AS y FROM {rects} WHERE {where}) r, generate_series(r.x0, r.x1) AS g(x))"""
