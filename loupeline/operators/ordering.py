@@ -108,3 +108,28 @@ def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     before = ranked.select(*group, (F.col("_rank") + 1).alias("_rank"),
                            *[F.col(source).alias(output) for output, source in columns.items()])
     return ranked.join(before, [*group, "_rank"], "left").drop("_rank")
+
+
+def fill_forward(df: DataFrame, group: Sequence[str], order: Sequence[Column], columns: dict[str, str],
+                 inclusive: bool = True) -> DataFrame:
+    """Latest non-null value at or (not ``inclusive``) before each row: ``columns = {output: input}``.
+
+    The as-of building block: union both sides of an as-of join, put the value on one side only, fill forward.
+    """
+    placed = sorted_table(df, group, order)
+
+    def latest(source):
+        return F.max(F.when(F.col(source).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(source).alias("v"))))
+
+    pieces = placed.groupBy("_range", *group).agg(*[latest(s)["v"].alias(f"_last_{o}") for o, s in columns.items()])
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select("_range", *group, *[F.last(f"_last_{o}", True).over(earlier).alias(f"_earlier_{o}") for o in columns])
+    inside = Window.partitionBy("_range", *group).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    out = placed
+    for output, source in columns.items():
+        out = out.withColumn(f"_here_{output}", F.last(source, True).over(inside))
+    out = out.join(offsets, ["_range", *group])
+    for output in columns:
+        out = out.withColumn(output, F.coalesce(f"_here_{output}", f"_earlier_{output}"))
+    scratch = [c for c in out.columns if c.startswith(("_here_", "_earlier_"))]
+    return out.drop("_range", "_pos", *scratch)

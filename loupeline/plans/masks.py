@@ -21,6 +21,11 @@ def kept(t, conf=MASK_CONF):
     return b.instance_runs(t).filter(F.col("conf") >= conf)
 
 
+def heat_milli():
+    """Heat sum of a region in thousandths: confidences are whole thousandths here, so it compares as an integer."""
+    return F.round(F.col("mean") * F.col("area") * 1000).cast("bigint").alias("heat_milli")
+
+
 def as_bigint(runs, *extra):
     return runs.select("sample_id", *extra, *[F.col(c).cast("bigint").alias(c) for c in ("y", "x0", "x1")])
 
@@ -152,11 +157,13 @@ CONF_PIX = """cm AS (SELECT sample_id, category, y, x, max(conf) AS conf FROM (S
     unnest(generate_series(y0, y1)) AS y FROM ins) r, generate_series(r.x0, r.x1) AS g(x) GROUP BY ALL)"""
 
 
-@query("confidence_map", f"""WITH {RECTS}, {CONF_PIX} SELECT sample_id, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x, conf FROM cm""")
+@query("confidence_map", f"""WITH {RECTS}, {CONF_PIX} SELECT sample_id, CAST(y AS BIGINT) AS y, count(*) AS pixels, max(conf) AS top_conf,
+  CAST(sum(round(conf * 1000)) AS BIGINT) AS conf_milli FROM cm GROUP BY 1, 2""")
 def _(t):
-    heat = u.confidence_map(b.instance_runs(t), ID)
-    return heat.select("sample_id", F.col("y").cast("bigint").alias("y"),
-                       F.explode(F.sequence(F.col("x0").cast("bigint"), F.col("x1").cast("bigint"))).alias("x"), "conf")
+    stretches = u.confidence_map(b.instance_runs(t), ID)
+    return stretches.groupBy("sample_id", F.col("y").cast("bigint").alias("y")).agg(
+        F.sum(u.length()).cast("bigint").alias("pixels"), F.max("conf").alias("top_conf"),
+        F.sum(F.round(F.col("conf") * 1000).cast("bigint") * u.length()).cast("bigint").alias("conf_milli"))
 
 
 @query("instance_image_score", f"""WITH {b.INSTANCES} SELECT o_orderkey AS sample_id, coalesce(max(conf), 0) AS image_score
@@ -240,20 +247,20 @@ def heat(t):
 
 
 @query("hybrid_regions", f"""WITH RECURSIVE {REGIONS}, rk AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY peak DESC, area DESC, label) AS rank FROM rs WHERE area >= 24)
-SELECT sample_id, label, rank, area, peak, round(mean, 9) AS mean, bx0, by0, bx1, by1, thr AS threshold_used FROM rk WHERE rank <= 3""")
+SELECT sample_id, label, rank, area, peak, CAST(round(mean * area * 1000) AS BIGINT) AS heat_milli, bx0, by0, bx1, by1, thr AS threshold_used FROM rk WHERE rank <= 3""")
 def _(t):
     out = rg.hybrid_regions(heat(t), "sample_id", 0.3, 0.7, 24, 3)
-    return out.select("sample_id", "label", F.col("rank").cast("bigint").alias("rank"), "area", "peak", F.round("mean", 9).alias("mean"),
+    return out.select("sample_id", "label", F.col("rank").cast("bigint").alias("rank"), "area", "peak", heat_milli(),
                       *[F.col(c).cast("bigint").alias(c) for c in ("bx0", "by0", "bx1", "by1")], "threshold_used")
 
 
-@query("region_stats", f"WITH RECURSIVE {REGIONS} SELECT sample_id, label, area, peak, round(mean, 9) AS mean FROM rs")
+@query("region_stats", f"WITH RECURSIVE {REGIONS} SELECT sample_id, label, area, peak, CAST(round(mean * area * 1000) AS BIGINT) AS heat_milli FROM rs")
 def _(t):
     rows = heat(t)
     peaks = rows.groupBy("sample_id").agg(F.max("value").alias("peak"))
     hot = rows.join(peaks, "sample_id").filter(F.col("value") >= F.greatest(F.lit(0.3), F.lit(0.7) * F.col("peak")))
     stats = rg.region_stats(rg.connected_components(hot, "sample_id"), hot, "sample_id")
-    return stats.select("sample_id", "label", "area", "peak", F.round("mean", 9).alias("mean"))
+    return stats.select("sample_id", "label", "area", "peak", heat_milli())
 
 
 @query("region_topk", f"""WITH RECURSIVE {b.INSTANCES}, {COMPONENTS.format(source="ins WHERE conf >= 0.5::DOUBLE")},

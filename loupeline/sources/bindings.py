@@ -132,7 +132,7 @@ GT_RECTS = """gtr AS (
   FROM orders WHERE o_orderstatus = 'F')"""
 
 
-def instance_rects(t) -> DataFrame:
+def instance_rects(t, only_ng: bool = False) -> DataFrame:
     """One detected instance per line item, near the order's first defect, with a confidence."""
     k, p, s, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     x0 = F.greatest(F.lit(0), k * 37 % 70 + p % 9 - 4).cast("int")
@@ -141,12 +141,13 @@ def instance_rects(t) -> DataFrame:
     inst = F.concat_ws("-", p.cast("string"), s.cast("string"), n.cast("string"), F.col("l_quantity").cast("int").cast("string"))
     rects = t.lineitem.select(k.alias("sample_id"), inst.alias("inst"), conf.alias("conf"), x0.alias("x0"), y0.alias("y0"),
                               (x0 + 2 + (p % 12)).cast("int").alias("x1"), (y0 + 1 + n).cast("int").alias("y1"))
-    category = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderpriority").alias("category"))
+    orders = t.orders.filter("o_orderstatus = 'F'") if only_ng else t.orders
+    category = orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderpriority").alias("category"))
     return rects.join(category, "sample_id")
 
 
-def instance_runs(t) -> DataFrame:
-    return instance_rects(t).select("sample_id", "category", "inst", "conf", F.explode(F.sequence("y0", "y1")).alias("y"),
+def instance_runs(t, only_ng: bool = False) -> DataFrame:
+    return instance_rects(t, only_ng).select("sample_id", "category", "inst", "conf", F.explode(F.sequence("y0", "y1")).alias("y"),
                                     "x0", "x1")
 
 
