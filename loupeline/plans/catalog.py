@@ -1,3 +1,3 @@
 """Imports every plan module so that the registry is complete."""
-from loupeline.plans import calibration, gate, masks, metrics, review, splits  # noqa: F401
+from loupeline.plans import calibration, gate, masks, metrics, review, splits, vectors  # noqa: F401
 from loupeline.plans.registry import PLANS, SQL, callables  # noqa: F401
