@@ -6,10 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def reasons(**rules: Column) -> Column:
-    """Names of the rules that hold, comma separated in the given order; an empty string when none does."""
-    return F.array_join(F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()])), ",")
+from loupeline.functions.decisions import reasons
 
 
 def canonical_text(text: Column | str) -> Column:
