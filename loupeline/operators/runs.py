@@ -229,20 +229,22 @@ def pixels_to_runs(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.min("x").alias("x0"), F.max("x").alias("x1")).drop("_island")
 
 
-def raster_to_runs(rasters: DataFrame, key: str, raster: str, width: int, background: str = r"\x00-\x7f") -> DataFrame:
+def raster_to_runs(rasters: DataFrame, key: str, raster: str, width: int | str, background: str = r"\x00-\x7f") -> DataFrame:
     """Row-major rasters held as strings to runs of foreground, without a row per pixel.
 
     The raster is cut where foreground meets background; running lengths place the pieces and each foreground piece
-    is laid over the image rows it spans. ``background`` is the character class of background values.
+    is laid over the image rows it spans. ``width`` is a number or a column; ``background`` is the character class of
+    background values.
     """
+    rasters, width = rasters.withColumn("_width", F.col(width) if isinstance(width, str) else F.lit(width)), F.col("_width")
     edge = f"(?<=[{background}])(?=[^{background}])|(?<=[^{background}])(?=[{background}])"
-    pieces = rasters.select(key, F.posexplode(F.split(raster, edge)).alias("_i", "_piece"))
+    pieces = rasters.select(key, "_width", F.posexplode(F.split(raster, edge)).alias("_i", "_piece"))
     until = Window.partitionBy(key).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    placed = pieces.select(key, "_piece", F.length("_piece").cast("bigint").alias("_n"),
+    placed = pieces.select(key, "_width", "_piece", F.length("_piece").cast("bigint").alias("_n"),
                            F.sum(F.length("_piece")).over(until).alias("_end"))
     start, last = F.col("_end") - F.col("_n"), F.col("_end") - 1
     lit = placed.filter((F.col("_n") > 0) & F.rlike("_piece", F.lit(f"^[^{background}]"))).select(
-        key, start.alias("_start"), last.alias("_last"),
+        key, "_width", start.alias("_start"), last.alias("_last"),
         F.explode(F.sequence(F.floor(start / width), F.floor(last / width))).alias("y"))
     base = F.col("y") * width
     return lit.select(key, "y", (F.greatest(F.col("_start"), base) - base).alias("x0"),
