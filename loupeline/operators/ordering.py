@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loupeline.session import written
+from loupeline.session import sized, written
 
 POSITION_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id: row position in its partition
 
@@ -48,7 +48,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], na
     """
     placed = sorted_table(df, group, order)
     pieces = placed.groupBy("_range", *group).agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("_first"))
-    offsets = _offsets(pieces, group, ["n"])
+    offsets = sized(_offsets(pieces, group, ["n"]), "offsets")
     out = placed.join(offsets, ["_range", *group]).withColumn(
         name, F.col("_pos") - F.col("_first") + F.col("_before_n") + 1)
     if size:

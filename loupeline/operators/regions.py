@@ -22,8 +22,10 @@ def _label(image_id: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray)
     low = np.searchsorted(ends, below + x0, side="left")
     high = np.searchsorted(starts, below + x1 + 2, side="right")
     counts = np.maximum(high - low, 0)
-    a = np.repeat(np.arange(n), counts)
-    b = np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+    beside = np.flatnonzero(starts[1:] == ends[:-1] + 1)  # runs that touch inside one row
+    a = np.concatenate((np.repeat(np.arange(n), counts), beside))
+    first = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    b = np.concatenate((np.repeat(low - first, counts) + np.arange(counts.sum()), beside + 1))
     label = np.arange(n)
     while True:
         lowest = np.minimum(label[a], label[b])
@@ -36,20 +38,22 @@ def _label(image_id: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray)
         label = new
     root = label == np.arange(n)
     order = np.cumsum(root)
-    first_of_image = np.concatenate(([True], image[1:] != image[:-1]))
-    offset = np.maximum.accumulate(np.where(first_of_image, order - root, 0))
+    starts_image = np.concatenate(([True], image[1:] != image[:-1]))
+    offset = np.maximum.accumulate(np.where(starts_image, order - root, 0))
     return order[label] - offset
 
 
-def connected_components(runs: DataFrame, sample: str, merged: bool = False) -> DataFrame:
+def connected_components(runs: DataFrame, sample: str, carry: Sequence[str] = (), disjoint: bool = False) -> DataFrame:
     """Runs with ``label``. Spark groups and sorts the images; each task labels complete images batch by batch.
 
+    ``disjoint`` runs (they may touch) are labelled as they are and keep their ``carry`` columns; others are merged first.
     One image is bounded by its pixels. An image cut by an Arrow batch waits for its remaining rows. The shuffle key
     is a hash of the image id: a plain ``repartition(sample)`` is dropped when the input already has that partitioning,
     and adaptive execution may then change the input's partitioning under the Python stage.
     """
-    disjoint = runs.select(sample, "y", "x0", "x1") if merged else merge_runs(runs.select(sample, "y", "x0", "x1"), [sample])
-    placed = disjoint.repartition(F.xxhash64(sample)).sortWithinPartitions(sample, "y", "x0")
+    columns = [sample, "y", "x0", "x1"]
+    ready = runs.select(*columns, *carry) if disjoint else merge_runs(runs.select(*columns), [sample])
+    placed = ready.select(*columns, *carry).repartition(F.xxhash64(sample)).sortWithinPartitions(sample, "y", "x0")
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting = None
@@ -60,12 +64,12 @@ def connected_components(runs: DataFrame, sample: str, merged: bool = False) ->
             open_image = (frame[sample] == frame[sample].iloc[-1]).to_numpy()
             waiting, done = frame[open_image], frame[~open_image]
             if len(done):
-                yield done.assign(label=_label(*[done[c].to_numpy() for c in (sample, "y", "x0", "x1")]))
+                yield done.assign(label=_label(*[done[c].to_numpy() for c in columns]))
         if waiting is not None and len(waiting):
-            yield waiting.assign(label=_label(*[waiting[c].to_numpy() for c in (sample, "y", "x0", "x1")]))
+            yield waiting.assign(label=_label(*[waiting[c].to_numpy() for c in columns]))
 
-    types = dict(disjoint.dtypes)
-    return placed.mapInPandas(label, f"{sample} {types[sample]}, y {types['y']}, x0 {types['x0']}, x1 {types['x1']}, label bigint")
+    schema = ", ".join(f"{name} {kind}" for name, kind in placed.dtypes)
+    return placed.mapInPandas(label, f"{schema}, label bigint")
 
 
 def region_boxes(labelled: DataFrame, sample: str) -> DataFrame:
@@ -75,32 +79,35 @@ def region_boxes(labelled: DataFrame, sample: str) -> DataFrame:
         (F.max("x1") + 1).alias("bx1"), (F.max("y") + 1).alias("by1"))
 
 
-def region_stats(labelled: DataFrame, heat: DataFrame, sample: str) -> DataFrame:
-    """Area, box, peak and mean heat per component.
+def region_stats(heat: DataFrame, sample: str) -> DataFrame:
+    """Area, box, peak and mean heat of the connected regions of thresholded heat runs (sample, y, x0, x1, value).
 
-    ``heat`` is a run table (sample, y, x0, x1, value) whose runs never straddle a component's edge, as is the case
-    when the components come from thresholding it; each heat run joins the component run that contains it.
+    Heat stretches are labelled themselves and keep their value, so statistics need no join back to the heat.
     """
-    shape = labelled.select(sample, "y", F.col("x0").alias("_c0"), F.col("x1").alias("_c1"), "label")
-    inside = heat.join(shape, [sample, "y"]).filter((F.col("x0") >= F.col("_c0")) & (F.col("x1") <= F.col("_c1")))
-    return inside.groupBy(sample, "label").agg(
+    labelled = connected_components(heat, sample, carry=["value"], disjoint=True)
+    return labelled.groupBy(sample, "label").agg(
         F.sum(length()).cast("bigint").alias("area"), F.max("value").alias("peak"),
         (F.sum(F.col("value") * length()) / F.sum(length())).alias("mean"), F.min("x0").alias("bx0"), F.min("y").alias("by0"),
         (F.max("x1") + 1).alias("bx1"), (F.max("y") + 1).alias("by1"))
 
 
+def above_peak(heat: DataFrame, sample: str, pixel_threshold: float, peak_fraction: float) -> DataFrame:
+    """Heat reaching max(absolute threshold, fraction of the image's peak), with ``threshold_used``; one image per window."""
+    peak = F.max("value").over(Window.partitionBy(sample))
+    used = F.greatest(F.lit(float(pixel_threshold)), F.lit(float(peak_fraction)) * peak)
+    return heat.withColumn("threshold_used", used).filter(F.col("value") >= F.col("threshold_used"))
+
+
 def hybrid_regions(heat: DataFrame, sample: str, pixel_threshold: float, peak_fraction: float = 0.7, min_area: int = 128,
                    max_regions: int = 3) -> DataFrame:
-    """Regions above max(absolute threshold, fraction of the image's peak), the largest peaks kept and ranked.
+    """Regions above the hybrid threshold, the largest peaks kept and ranked. ``heat`` holds valid (in-ROI) stretches only.
 
-    ``heat`` holds the valid (in-ROI) stretches only.
+    The hottest stretch is always kept, so each image's first-ranked peak gives its threshold back without a second pass.
     """
-    peaks = heat.groupBy(sample).agg(F.max("value").alias("_peak"))
-    used = F.greatest(F.lit(float(pixel_threshold)), F.lit(float(peak_fraction)) * F.col("_peak"))
-    hot = heat.join(peaks, sample).withColumn("threshold_used", used).filter(F.col("value") >= F.col("threshold_used"))
-    stats = region_stats(connected_components(hot, sample), hot, sample)
-    thresholds = peaks.select(sample, used.alias("threshold_used"))
-    return region_topk(stats, sample, min_area, max_regions).join(thresholds, sample)
+    stats = region_stats(above_peak(heat, sample, pixel_threshold, peak_fraction), sample)
+    top = F.max("peak").over(Window.partitionBy(sample))
+    used = F.greatest(F.lit(float(pixel_threshold)), F.lit(float(peak_fraction)) * top)
+    return region_topk(stats.withColumn("threshold_used", used), sample, min_area, max_regions)
 
 
 def component_boxes(labelled: DataFrame, sample: str, height: int, width: int) -> DataFrame:

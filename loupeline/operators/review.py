@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loupeline.operators.ordering import hash_rank, rank_within, seeded
+from loupeline.session import sized
 
 # Default policy
 POLICY = {"high_fraction": 0.20, "middle_fraction": 0.40, "middle_rate": 0.10, "middle_min": 5,
@@ -62,7 +63,7 @@ def segment_escalation(plan: DataFrame, keys: Sequence[str], truth: str = "truth
 
     Segments are aggregated first; only their small statistics table is joined back.
     """
-    stats = review_stats(plan, keys, truth).select(*keys, "segment", "escalated")
+    stats = sized(review_stats(plan, keys, truth).select(*keys, "segment", "escalated"), "segments")
     return plan.join(stats, [*keys, "segment"]).withColumn("reviewed", F.col("sampled") | F.col("escalated"))
 
 

@@ -24,16 +24,15 @@ def length() -> Column:
 
 def sweep(layers: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """Disjoint stretches ``(keys, y, x0, x1)`` with one boolean per layer telling whether it covers them."""
-    def events(name, runs):
+    def events(number, runs):
         ends = F.array(F.struct(F.col("x0").alias("x"), F.lit(1).alias("d")),
                        F.struct((F.col("x1") + 1).alias("x"), F.lit(-1).alias("d")))
-        exploded = runs.select(*keys, "y", F.inline(ends))
-        return exploded.select(*keys, "y", "x", *[(F.col("d") if n == name else F.lit(0)).alias(f"_{n}") for n in layers])
+        return runs.select(*keys, "y", F.lit(number).alias("_layer"), F.inline(ends))
 
-    all_events = reduce(DataFrame.unionByName, [events(n, r) for n, r in layers.items()])
+    all_events = reduce(DataFrame.unionByName, [events(i, r) for i, r in enumerate(layers.values())])
     row = Window.partitionBy(*keys, "y").orderBy("x")  # default frame: peers at the same x count together
-    swept = all_events.select(*keys, "y", F.col("x").alias("x0"), (F.lead("x").over(row) - 1).alias("x1"),
-                              *[(F.sum(f"_{n}").over(row) > 0).alias(n) for n in layers])
+    covers = [(F.sum(F.when(F.col("_layer") == i, F.col("d")).otherwise(0)).over(row) > 0).alias(n) for i, n in enumerate(layers)]
+    swept = all_events.select(*keys, "y", F.col("x").alias("x0"), (F.lead("x").over(row) - 1).alias("x1"), *covers)
     return swept.filter(F.col("x1") >= F.col("x0"))
 
 
@@ -46,16 +45,26 @@ def merge_runs(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return islands.groupBy(*keys, "y", "_island").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1")).drop("_island")
 
 
-def spread(runs: DataFrame, radius: int, height: Column | int, width: Column | int) -> DataFrame:
-    """Square dilation as overlapping runs: wider by ``radius`` and repeated on the neighbouring rows."""
+def stacks(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equal runs on consecutive rows as one rectangle ``(keys, x0, x1, y0, y1)``."""
+    column = Window.partitionBy(*keys, "x0", "x1").orderBy("y")
+    return runs.select(*keys, *RUN).withColumn("_stack", F.col("y") - F.dense_rank().over(column)).groupBy(
+        *keys, "x0", "x1", "_stack").agg(F.min("y").alias("y0"), F.max("y").alias("y1")).drop("_stack")
+
+
+def spread(runs: DataFrame, keys: Sequence[str], radius: int, height: Column | int, width: Column | int) -> DataFrame:
+    """Square dilation as overlapping runs: wider by ``radius`` and repeated on the neighbouring rows.
+
+    Stacked runs are spread together: a stack of h rows gives h + 2 radius rows instead of h (2 radius + 1).
+    """
     height, width = [c if isinstance(c, Column) else F.lit(c) for c in (height, width)]
-    rows = F.sequence(F.greatest(F.col("y") - radius, F.lit(0)), F.least(F.col("y") + radius, height - 1))
-    return runs.withColumns({"x0": F.greatest(F.col("x0") - radius, F.lit(0)), "x1": F.least(F.col("x1") + radius, width - 1),
-                             "y": F.explode(rows)})
+    rows = F.sequence(F.greatest(F.col("y0") - radius, F.lit(0)), F.least(F.col("y1") + radius, height - 1))
+    return stacks(runs, keys).select(*keys, F.explode(rows).alias("y"), F.greatest(F.col("x0") - radius, F.lit(0)).alias("x0"),
+                                     F.least(F.col("x1") + radius, width - 1).alias("x1"))
 
 
 def dilate_runs(runs: DataFrame, keys: Sequence[str], radius: int, height, width) -> DataFrame:
-    return merge_runs(spread(runs, radius, height, width), keys)
+    return merge_runs(spread(runs, keys, radius, height, width), keys)
 
 
 def mask_area(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,9 +105,9 @@ def overlap_counts(gt: DataFrame, predictions: dict[str, DataFrame], keys: Seque
     Per prediction ``p``: ``p_intersection, p_union, p_pixels, p_matched`` (ground truth within the tolerance of the
     prediction) and ``p_total`` (area plus excess, the excess capped at the area of this image).
     """
-    layers = {"gt": gt, "near_gt": spread(gt, radius, height, width)}
+    layers = {"gt": gt, "near_gt": spread(gt, keys, radius, height, width)}
     for name, runs in predictions.items():
-        layers[name], layers[f"near_{name}"] = runs, spread(runs, radius, height, width)
+        layers[name], layers[f"near_{name}"] = runs, spread(runs, keys, radius, height, width)
     layers = {n: r.select(*keys, *RUN) for n, r in layers.items()}
 
     def pixels(condition):

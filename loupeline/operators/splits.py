@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loupeline.functions.decisions import unit_hash
 from loupeline.operators.ordering import hash_rank, rank_within, seeded
 from loupeline.operators.review import half_even, top_ranked
+from loupeline.session import sized
 
 
 def hash_split(rows: DataFrame, fraction: float = 0.25, seed: object = 42, category: str = "category",
@@ -54,7 +55,7 @@ def reserve_roles(ok_rows: DataFrame, category: str, token: Column, n_ref: int,
 
 def ratio_downsample(rows: DataFrame, category: str, label: str, token: Column, ratio: float) -> DataFrame:
     """All OK and the seeded NG subset that makes NG ``ratio`` of the stream."""
-    totals = rows.groupBy(category).agg(F.count_if(F.col(label) == "OK").alias("_ok"))
+    totals = sized(rows.groupBy(category).agg(F.count_if(F.col(label) == "OK").alias("_ok")), "totals")
     ng = hash_rank(rows.filter(F.col(label) == "NG"), [category], token, "_rank", size="_ng").join(totals, category)
     wanted = F.least(half_even(F.col("_ok") * F.lit(ratio) / F.lit(1.0 - ratio)), F.col("_ng"))
     kept = ng.filter(F.col("_rank") <= wanted).drop("_rank", "_ng", "_ok")
@@ -86,7 +87,7 @@ def stratified_batches(rows: DataFrame, category: str, label: str, token: Column
 
     The first ``ng % batches`` batches hold one NG more, so an OK's batch follows from its rank in closed form.
     """
-    totals = rows.groupBy(category).agg(F.count_if(F.col(label) == "NG").alias("_ng"), F.count(F.lit(1)).alias("_all"))
+    totals = sized(rows.groupBy(category).agg(F.count_if(F.col(label) == "NG").alias("_ng"), F.count(F.lit(1)).alias("_all")), "totals")
     ranked = hash_rank(rows, [category, label], token, "_rank").join(totals, category)
     i, batches = F.col("_rank") - 1, F.ceil(F.col("_all") / F.lit(size))
     each, extra = F.floor(F.col("_ng") / batches), F.col("_ng") % batches

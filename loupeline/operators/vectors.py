@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loupeline.operators.metrics import cohort_fingerprint
 from loupeline.operators.review import top_fraction_mean
+from loupeline.session import sized
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 8192
@@ -167,7 +168,7 @@ def coreset_fraction(vectors: DataFrame, fraction: float, category: str = "categ
     no task ever holds a whole bank. A category that fits one shard gets the exact greedy coreset.
     """
     rows = vectors.select("vec_id", category, "embedding")
-    sizes = rows.groupBy(category).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("_shards"))
+    sizes = sized(rows.groupBy(category).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("_shards")), "shards")
     sharded = rows.join(sizes, category).withColumn("_shard", F.pmod(F.xxhash64("vec_id"), F.col("_shards"))).drop("_shards")
 
     def greedy(frame: pd.DataFrame) -> pd.DataFrame:

@@ -10,6 +10,7 @@ from loupeline.operators import runs as u
 from loupeline.plans.masks import H, W
 from loupeline.plans.metrics import RATES
 from loupeline.plans.registry import query
+from loupeline.session import written
 from loupeline.sources import bindings as b
 
 LAYERS = {"official": 0.5, "shadow": 0.3}
@@ -41,9 +42,9 @@ def rows(t, layer="official", verified=False, pixel_counts=None, keep=()):
     return u.metric_rows(base, counts(t, (layer,)) if pixel_counts is None else pixel_counts, layer).select(*ROW_COLUMNS, *keep)
 
 
-def pairs(t, verified=True):
-    """Official and shadow rows; one sweep counts both predictions."""
-    both = counts(t)
+def pairs(t, verified=True, pixel_counts=None):
+    """Official and shadow rows; one sweep counts both predictions and its small result is stored for the two readers."""
+    both = written(counts(t), "pixel-counts") if pixel_counts is None else pixel_counts
     return rows(t, "official", verified, both), rows(t, "shadow", verified, both)
 
 
@@ -150,7 +151,7 @@ def _(t):
 SELECT category, scope, tp, fp, fn, tn, intersection, "union", tolerant_matched_pixels, tolerant_total_pixels, segmentation_status FROM
   (SELECT *, {SEG_RATES} FROM c)""")
 def _(t):
-    shared = counts(t, ("official",))
+    shared = written(counts(t, ("official",)), "pixel-counts")
     seen = m.reviewed_metrics(rows(t, verified=True, pixel_counts=shared), ["category"])
     full = m.reviewed_metrics(rows(t, pixel_counts=shared), ["category"], scope="complete_simulated_batch")
     return seen.unionByName(full).select("category", "scope", "tp", "fp", "fn", "tn", "intersection", "union",
@@ -171,7 +172,7 @@ au AS (SELECT category, (sum(r) FILTER (label = 'NG') - count(*) FILTER (label =
   / (count(*) FILTER (label = 'NG') * count(*) FILTER (label = 'OK')) AS test_auroc FROM rk GROUP BY 1)
 SELECT c.* EXCLUDE (px, miou), {RATES}, {SEG_RATES}, test_auroc FROM c JOIN au USING (category)""")
 def _(t):
-    test = fixed_test(t)
+    test = written(fixed_test(t), "test-rows")
     extra = [F.count_if(F.col("label") == "OK").alias("test_ok"), F.count_if(F.col("label") == "NG").alias("test_ng")]
     result = m.reviewed_metrics(test, ["category"], extra=extra).drop("scope", "count", "verified_count")
     ranked = m.auroc(test.filter("label IN ('OK', 'NG')").withColumn("is_ng", F.col("label") == "NG"), ["category"], "score", "is_ng")
@@ -245,8 +246,8 @@ verdict AS (SELECT * EXCLUDE (complete, lo, eq, be, la), CASE WHEN complete AND
   CASE WHEN complete THEN la END AS tolerance_gain_at_least_20_points FROM k)"""
 
 
-def verdicts(t):
-    return g.promotion_gate(*pairs(t), ["category", "batch_no"])
+def verdicts(t, pixel_counts=None):
+    return g.promotion_gate(*pairs(t, pixel_counts=pixel_counts), ["category", "batch_no"])
 
 
 @query("promotion_gate", f"WITH {VERDICT} SELECT * FROM verdict")

@@ -256,10 +256,7 @@ def _(t):
 
 @query("region_stats", f"WITH RECURSIVE {REGIONS} SELECT sample_id, label, area, peak, CAST(round(mean * area * 1000) AS BIGINT) AS heat_milli FROM rs")
 def _(t):
-    rows = heat(t)
-    peaks = rows.groupBy("sample_id").agg(F.max("value").alias("peak"))
-    hot = rows.join(peaks, "sample_id").filter(F.col("value") >= F.greatest(F.lit(0.3), F.lit(0.7) * F.col("peak")))
-    stats = rg.region_stats(rg.connected_components(hot, "sample_id"), hot, "sample_id")
+    stats = rg.region_stats(rg.above_peak(heat(t), "sample_id", 0.3, 0.7), "sample_id")
     return stats.select("sample_id", "label", "area", "peak", heat_milli())
 
 
@@ -269,8 +266,7 @@ pk AS (SELECT lab.sample_id, label, area, max(conf) AS peak FROM lab JOIN comp O
 rk AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY peak DESC, area DESC, label) AS rank FROM pk WHERE area >= 20)
 SELECT sample_id, label, rank, area, peak FROM rk WHERE rank <= 2""")
 def _(t):
-    hot = heat(t).filter(F.col("value") >= MASK_CONF)
-    stats = rg.region_stats(rg.connected_components(hot, "sample_id"), hot, "sample_id")
+    stats = rg.region_stats(heat(t).filter(F.col("value") >= MASK_CONF), "sample_id")
     return region_topk(stats, "sample_id", 20, 2).select("sample_id", "label", F.col("rank").cast("bigint").alias("rank"), "area", "peak")
 
 

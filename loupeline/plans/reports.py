@@ -22,6 +22,7 @@ from loupeline.plans.calibration import FIRST_SQL
 from loupeline.plans.metrics import RATES
 from loupeline.plans.registry import SQL, query
 from loupeline.plans.review import ESCALATED, KEYS, batch_report
+from loupeline.session import scratch, written
 from loupeline.sources import bindings as b
 from loupeline.sources import files as fs
 
@@ -62,8 +63,8 @@ def latest_models(t):
                         F.col("latest.verdict_batch").alias("verdict_batch"), status.alias("latest_status"))
 
 
-def verdict_texts(t):
-    verdicts = pg.verdicts(t).withColumn("rule", F.lit(PROMOTION_RULE))
+def verdict_texts(t, pixel_counts):
+    verdicts = pg.verdicts(t, pixel_counts).withColumn("rule", F.lit(PROMOTION_RULE))
     return g.gate_pairs(verdicts, PROMOTION_RULE).select("category", F.col("batch_no").alias("verdict_batch"), "fn_pair", "fp_pair", "iou_pair", "cost_pair", "t5_pair")
 
 
@@ -103,7 +104,7 @@ def _(t):
 
 
 def simulation(t):
-    shared = pg.counts(t, ("official",))
+    shared = written(pg.counts(t), "pixel-counts")  # one sweep serves the online, test and shadow metrics
     full = m.reviewed_metrics(pg.rows(t, pixel_counts=shared), KEYS, scope="complete_simulated_batch").select(
         *KEYS, "recall", "ok_false_positive_rate", "iou_micro", "fn", "fp", "error_cost", F.col("tolerant_agreement_micro").alias("tolerant_agreement"))
     scored = pg.rows(t, pixel_counts=shared, keep=("score",)).withColumn("predicted_ng", F.col("score") >= 260000.0)
@@ -114,7 +115,7 @@ def simulation(t):
     report = batch_report(r.reviewed_batch(b.decisions(t), KEYS)).select(*KEYS, F.col("count").alias("inputs"), "reviewed", "input_ok", "input_ng", "predicted_ok", "predicted_ng")
     milestone = F.col("milestone")
     joined = (report.join(full, KEYS).join(pl.snapshots(t), KEYS).join(pl.in_force(t), KEYS).join(latest_models(t), KEYS).join(test, "category")
-              .join(verdict_texts(t), ["category", "verdict_batch"], "left"))
+              .join(verdict_texts(t, shared), ["category", "verdict_batch"], "left"))
     ready = joined.withColumns({
         "trained_images": milestone * 4, "trained_ng": milestone, "selected_synthetic": F.floor(milestone / 20), "generation_events": F.floor(milestone / 40),
         "augmentation_reason": F.lit(None).cast("string"), "test_metric_version": F.lit(METRIC_VERSION), "test_recall": known("_recall"), "test_fpr": known("_fpr"),
@@ -237,7 +238,7 @@ def _(t):
     ng = b.contents(t).filter("truth = 'NG'").withColumns({
         "split": F.lit("train"), "mask_sha256": F.sha2(F.concat(F.lit("mask"), F.col("sample_id").cast("string")), 256), "excluded_outside_roi": F.col("sample_id") % 17 == 0})
     manifest = rp.training_manifest(real_ng=ng, real_ok=ok("train", "bank").unionByName(ok("val", "calibration")), pseudo_ok=ok("train", "stream"))
-    path = fs.scratch(t.spark, "training-manifest")
+    path = scratch(t.spark, "training-manifest")
     manifest.write.parquet(path)
     return t.spark.read.schema(manifest.schema).parquet(path)
 
@@ -288,13 +289,13 @@ def report_documents(t):
 
 @query("scan_json_reports", NESTED)
 def _(t):
-    path = fs.sink_report_json(report_documents(t), fs.scratch(t.spark, "reports"))
+    path = fs.sink_report_json(report_documents(t), scratch(t.spark, "reports"))
     return fs.scan_json_reports(t.spark, path).select(*KEYS, "sample_id", "official", "truth", "review", "label_source")
 
 
 @query("sink_report_json", f"WITH {ESCALATED} SELECT category, batch_no, count(*) AS n FROM rev GROUP BY 1, 2")
 def _(t):
-    path = fs.sink_report_json(report_documents(t), fs.scratch(t.spark, "reports"))
+    path = fs.sink_report_json(report_documents(t), scratch(t.spark, "reports"))
     stored = t.spark.read.schema(fs.REPORT_SCHEMA).json(path)
     return stored.groupBy(*KEYS).agg(F.sum(F.size("rows")).cast("bigint").alias("n"))
 
@@ -303,19 +304,19 @@ def _(t):
 def _(t):
     plan = r.spot_check_plan(r.review_segments(b.decisions(t), KEYS), KEYS)
     table = r.review_stats(plan, KEYS)
-    return t.spark.read.schema(table.schema).option("header", True).csv(fs.sink_table_csv(table, fs.scratch(t.spark, "csv")))
+    return t.spark.read.schema(table.schema).option("header", True).csv(fs.sink_table_csv(table, scratch(t.spark, "csv")))
 
 
 @query("sink_cases_partitioned", f"""WITH {b.DECISIONS} SELECT sample_id, category, score, CASE WHEN truth = 'NG' THEN CASE WHEN official = 'NG' THEN 'tp' ELSE 'fn' END
   ELSE CASE WHEN official = 'NG' THEN 'fp' ELSE 'tn' END END AS "case" FROM dec""")
 def _(t):
     cases = b.decisions(t).select("sample_id", "category", "score", confusion_case("truth", F.col("official") == "NG").alias("case"))
-    return t.spark.read.parquet(fs.sink_cases_partitioned(cases, fs.scratch(t.spark, "cases"))).select("sample_id", "category", "score", "case")
+    return t.spark.read.parquet(fs.sink_cases_partitioned(cases, scratch(t.spark, "cases"))).select("sample_id", "category", "score", "case")
 
 
 @query("scan_state_tables", f"WITH {b.DECISIONS} SELECT sample_id, category, truth FROM dec WHERE category = '2-HIGH'")
 def _(t):
-    path = fs.scratch(t.spark, "samples")
+    path = scratch(t.spark, "samples")
     b.decisions(t).select("sample_id", "category", "truth").write.partitionBy("category").parquet(path)
     return fs.scan_state_table(t.spark, path, "2-HIGH").select("sample_id", "category", "truth")
 
@@ -329,5 +330,5 @@ def _(t):
 @query("review_exchange", f"""WITH {b.DECISIONS} SELECT sample_id, category, official AS model_decision, official AS reviewed_decision, 'model_assumed_review' AS label_source FROM dec""")
 def _(t):
     rows = b.decisions(t).select("sample_id", "category", F.col("official").alias("decision"), F.concat(F.lit("mask/"), F.col("sample_id").cast("string")).alias("mask_path"))
-    path = export_review_batch(rows, fs.scratch(t.spark, "review"))
+    path = export_review_batch(rows, scratch(t.spark, "review"))
     return assumed_review(import_review_batch(t.spark, path)).select("sample_id", "category", "model_decision", "reviewed_decision", "label_source")

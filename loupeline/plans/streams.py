@@ -11,8 +11,8 @@ from loupeline.plans import lifecycle as pl
 from loupeline.plans import vectors as pv
 from loupeline.plans.registry import query
 from loupeline.plans.review import ESCALATED, KEYS, plan
+from loupeline.session import scratch
 from loupeline.sources import bindings as b
-from loupeline.sources import files as fs
 from loupeline.streaming import counters, ingest
 
 FILES = 4
@@ -20,15 +20,15 @@ FILES = 4
 
 def as_stream(t, rows, name):
     """``rows`` written as a few files and read back as a stream, one file per micro-batch."""
-    path = fs.scratch(t.spark, name)
+    path = scratch(t.spark, name)
     rows.repartition(FILES).write.parquet(path)
     return ingest.stream_files(t.spark, path, rows.schema)
 
 
 def run_to_table(t, stream, name):
     """Runs an append stream into Parquet and returns what it wrote."""
-    out = fs.scratch(t.spark, name)
-    ingest.run_available(stream.writeStream.format("parquet").option("path", out), fs.scratch(t.spark, name + "-checkpoint"))
+    out = scratch(t.spark, name)
+    ingest.run_available(stream.writeStream.format("parquet").option("path", out), scratch(t.spark, name + "-checkpoint"))
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
@@ -38,14 +38,15 @@ def stream_arrivals(t):
 
 @query("ingest_dedup_stream", f"WITH {b.ARRIVALS} SELECT DISTINCT category, sha256 FROM arr")
 def _(t):
-    stream = as_stream(t, stream_arrivals(t), "arrivals")
-    return run_to_table(t, stream.dropDuplicates(["category", "sha256"]), "accepted").select("category", "sha256")
+    stream, out = as_stream(t, stream_arrivals(t), "arrivals"), scratch(t.spark, "accepted")
+    ingest.ingest_dedup(stream, out, scratch(t.spark, "accepted-checkpoint"))
+    return t.spark.read.schema(stream.schema).parquet(out).select("category", "sha256")
 
 
 @query("ingest_against_store", f"WITH {b.ARRIVALS} SELECT DISTINCT category, sha256 FROM arr")
 def _(t):
-    stream, store = as_stream(t, stream_arrivals(t), "arrivals"), fs.scratch(t.spark, "store")
-    ingest.ingest_against_store(stream, store, fs.scratch(t.spark, "store-checkpoint"))
+    stream, store = as_stream(t, stream_arrivals(t), "arrivals"), scratch(t.spark, "store")
+    ingest.ingest_against_store(stream, store, scratch(t.spark, "store-checkpoint"))
     return t.spark.read.parquet(store).select("category", "sha256")
 
 
@@ -57,15 +58,15 @@ def _(t):
 
 @query("sink_event_log", f"WITH {b.ARRIVALS} SELECT 'sample_ingested' AS event, sample_id, category FROM arr")
 def _(t):
-    stream, log = as_stream(t, stream_arrivals(t), "arrivals"), fs.scratch(t.spark, "events")
-    ingest.event_log(stream, log, fs.scratch(t.spark, "events-checkpoint"), "sample_ingested", ["sample_id", "category"])
+    stream, log = as_stream(t, stream_arrivals(t), "arrivals"), scratch(t.spark, "events")
+    ingest.event_log(stream, log, scratch(t.spark, "events-checkpoint"), "sample_ingested", ["sample_id", "category"])
     return t.spark.read.parquet(log).select("event", "sample_id", "category")
 
 
 @query("resume_exactly_once", f"WITH {b.ARRIVALS} SELECT sample_id, category FROM arr")
 def _(t):
     """Two runs over one checkpoint, new files arriving in between: nothing twice, nothing lost."""
-    path, out, checkpoint = [fs.scratch(t.spark, n) for n in ("inbox", "processed", "inbox-checkpoint")]
+    path, out, checkpoint = [scratch(t.spark, n) for n in ("inbox", "processed", "inbox-checkpoint")]
     rows = b.arrivals(t).select("sample_id", "category", "batch_no")
     for part in ("batch_no <= 15", "batch_no > 15"):
         rows.filter(part).write.mode("append").parquet(path)

@@ -1,7 +1,6 @@
 """Files as DataFrames: listings, digests, rasters, JSON reports, CSV tables, case folders, manifests."""
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +9,11 @@ from pyspark.sql import types as T
 
 from loupeline.operators.lookups import MASK_DIRECTORIES
 from loupeline.operators.runs import raster_to_runs
-from loupeline.session import shared_dir
 
 # Image suffixes that are listed
 IMAGE_SUFFIXES = (".bmp", ".jpeg", ".jpg", ".png", ".tif", ".tiff")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder on shared storage."""
-    return f"{shared_dir(spark)}/loupeline/{name}-{uuid.uuid4().hex}"
-
-
 def scan_files(spark: SparkSession, root: str, suffixes: Sequence[str] = IMAGE_SUFFIXES, skip_masks: bool = True) -> DataFrame:
     """Recursive listing ``(path, length, content)``; the bytes are read only where a later column needs them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
