@@ -55,7 +55,7 @@ def _side_sums(side: str) -> list[Column]:
             F.count_if(~status.isin("valid", "outside_roi", "not_required")).alias(f"{side}_invalid_ng"),
             pixels("intersection", zero).alias(f"{side}_intersection"), pixels("union", gt).alias(f"{side}_union"),
             pixels("tolerant_matched_pixels", zero).alias(f"{side}_matched"), pixels("tolerant_total_pixels", gt).alias(f"{side}_total"),
-            F.count_if(label.isNull() | status.isNull() | hit.isNull()).alias(f"{side}_incomplete"),
+            F.count_if(F.col(side).isNotNull() & (label.isNull() | status.isNull() | hit.isNull())).alias(f"{side}_incomplete"),
             F.count_if(legacy_counts(F.col(side))).alias(f"{side}_legacy")]
 
 
