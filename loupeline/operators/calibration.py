@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loupeline.functions.decisions import LADDER_QUANTILES, RECALL_LEVELS, col, next_up, ratio
 from loupeline.operators.metrics import score_counts
 from loupeline.operators.ordering import running_totals, with_previous
+from loupeline.session import sized
 
 
 def running_scores(rows: DataFrame, keys: Sequence[str], score, label_ng) -> DataFrame:
@@ -164,6 +165,7 @@ def choose_threshold_rule(rows: DataFrame, keys: Sequence[str], score, label_ng,
     ``settings`` has one row per key: zero_ng_quantile, target_recall, max_fpr, min_calibration_ok, full_rule_min_ng.
     All three rules are aggregates of the same running frame.
     """
+    settings = sized(settings, "settings")
     run = running_scores(rows, keys, score, label_ng).join(settings, list(keys))
     zero = run.groupBy(*keys).agg(F.min(F.when(
         F.col("neg_upto") > higher_index(F.col("n"), F.col("zero_ng_quantile")), F.col("score"))).alias("zero_threshold"),

@@ -73,7 +73,10 @@ def promotion_gate(official: DataFrame, candidate: DataFrame, keys: Sequence[str
         p = f"{side}_"
         complete = ((F.col(p + "tp") + F.col(p + "fn") > 0) & (F.col(p + "fp") + F.col(p + "tn") > 0) & (F.col(p + "valid_ng") > 0)
                     & (F.col(p + "invalid_ng") == 0) & (F.col(p + "excluded_invalid_gt") == 0))
-        sums = sums.withColumns({f"_{side}_ok": complete, f"{side}_error_cost": 2 * F.col(p + "fn") + F.col(p + "fp")})
+        pooled = (F.col(p + "valid_ng") > 0) & (F.col(p + "invalid_ng") == 0)
+        sums = sums.withColumns({f"_{side}_ok": complete, f"{side}_error_cost": 2 * F.col(p + "fn") + F.col(p + "fp"),
+                                 f"{side}_iou_micro": F.when(pooled, ratio(p + "intersection", p + "union")),
+                                 f"{side}_tolerant_agreement_micro": F.when(pooled, ratio(p + "matched", p + "total"))})
 
     def exact(name):
         return F.col(name).cast("decimal(18,0)")
@@ -93,7 +96,8 @@ def promotion_gate(official: DataFrame, candidate: DataFrame, keys: Sequence[str
     reason = (F.when(lower, "lower_error_cost").when(equal & better, "equal_cost_better_tolerance")
                .when(large, "tolerance_gain_at_least_20_points").when(~equal, "higher_error_cost").otherwise("equal_cost_no_tolerance_gain"))
     promote = lower | (equal & better) | large
-    shown = [f"{side}_{c}" for side in SIDES for c in ("fn", "fp", "error_cost", "intersection", "union", "matched", "total")]
+    shown = [f"{side}_{c}" for side in SIDES for c in ("fn", "fp", "error_cost", "intersection", "union", "matched", "total", "iou_micro",
+                                                       "tolerant_agreement_micro")]
     return judged.select(*keys, "reviewed", F.when(F.coalesce(promote, F.lit(False)), "promote").otherwise("reject").alias("decision"),
                          F.coalesce("_refusal", reason).alias("reason"), *checks, *shown)
 
@@ -108,16 +112,18 @@ def shadow_window(batches: DataFrame, keys: Sequence[str], order: str = "batch_n
     return run.withColumn("due", reached & ~before).select(*keys, order, "shadow_ng", "shadow_batches", "due")
 
 
+# Refusals that come before any metric is computed
+UNMEASURED = ("missing_or_legacy_metric_rows", "unpaired_samples", "missing_or_legacy_tolerance_counts")
+
+
 def gate_pairs(verdicts: DataFrame, rule: str) -> DataFrame:
-    """"old -> new" texts of a verdict; NULL under another rule id."""
-    def text(name, old, new, percent=False):
-        def show(value):
-            return F.format_string("%.4f%%", value * 100) if percent else value.cast("string")
-        return F.when(F.col("rule") == rule, F.concat(show(old), F.lit(" → "), show(new))).alias(name)
-
-    o, c = (lambda n: F.col(f"official_{n}")), (lambda n: F.col(f"candidate_{n}"))
-    return verdicts.select(
-        "*", text("fn_pair", o("fn"), c("fn")), text("fp_pair", o("fp"), c("fp")),
-        text("iou_pair", ratio(o("intersection"), o("union")), ratio(c("intersection"), c("union")), True),
-        text("cost_pair", o("error_cost"), c("error_cost")),
-        text("t5_pair", ratio(o("matched"), o("total")), ratio(c("matched"), c("total")), True))
+    """"old → new" texts of a verdict; NULL under another rule id, without metrics, or where either side is NULL."""
+    shown = (F.col("rule") == rule) & ~F.col("reason").isin(*UNMEASURED)
+
+    def text(name, metric, percent=False):
+        old, new = F.col(f"official_{metric}"), F.col(f"candidate_{metric}")
+        show = (lambda v: F.format_string("%.4f%%", v * 100)) if percent else (lambda v: v.cast("string"))
+        return F.when(shown & old.isNotNull() & new.isNotNull(), F.concat(show(old), F.lit(" → "), show(new))).alias(name)
+
+    return verdicts.select("*", text("fn_pair", "fn"), text("fp_pair", "fp"), text("iou_pair", "iou_micro", True),
+                           text("cost_pair", "error_cost"), text("t5_pair", "tolerant_agreement_micro", True))

@@ -18,7 +18,8 @@ from loupeline.operators.review import top_fraction_mean
 from loupeline.session import sized
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 65536  # vectors per block: large blocks keep the replication of a blocked join low
+SLAB_CELLS = 1 << 23  # distances held at once inside a task
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -32,8 +33,8 @@ def _best(query: np.ndarray, bank: np.ndarray, bank_ids: np.ndarray, metric: str
     if metric == "cosine":
         unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
         query, bank = unit(query), unit(bank)
-    gap = (bank ** 2).sum(1)[None, :] - 2 * query @ bank.T
-    hit = gap.argmin(1)
+    size, slab = (bank ** 2).sum(1)[None, :], max(1, SLAB_CELLS // len(bank))
+    hit = np.concatenate([(size - 2 * query[i:i + slab] @ bank.T).argmin(1) for i in range(0, len(query), slab)])
     distance = np.linalg.norm(query - bank[hit], axis=1)
     return bank_ids[hit], distance if metric == "l2" else distance ** 2 / 2
 

@@ -233,6 +233,10 @@ def side_sql(name, alias):
 VERDICT = f"""{PAIRS}, {side_sql('official', 'o')}, {side_sql('shadow', 'c')},
 j AS (SELECT o.category, o.batch_no, o.n AS reviewed, 2 * o.fn + o.fp AS official_error_cost, 2 * c.fn + c.fp AS candidate_error_cost,
   {", ".join(f"{a}.{col} AS {side}_{out}" for a, side in (("o", "official"), ("c", "candidate")) for col, out in (("fn", "fn"), ("fp", "fp"), ("intersection", "intersection"), ('"union"', "union"), ("tolerant_matched_pixels", "matched"), ("tolerant_total_pixels", "total")))},
+  CASE WHEN o.segmentation_valid_ng > 0 AND o.segmentation_invalid_ng = 0 THEN o.intersection::DOUBLE / o."union" END AS official_iou_micro,
+  CASE WHEN c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 THEN c.intersection::DOUBLE / c."union" END AS candidate_iou_micro,
+  CASE WHEN o.segmentation_valid_ng > 0 AND o.segmentation_invalid_ng = 0 THEN o.tolerant_matched_pixels::DOUBLE / o.tolerant_total_pixels END AS official_tolerant_agreement_micro,
+  CASE WHEN c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 THEN c.tolerant_matched_pixels::DOUBLE / c.tolerant_total_pixels END AS candidate_tolerant_agreement_micro,
   o.tp + o.fn > 0 AND o.fp + o.tn > 0 AND o.segmentation_valid_ng > 0 AND o.segmentation_invalid_ng = 0 AND o.inv = 0 AND
   c.tp + c.fn > 0 AND c.fp + c.tn > 0 AND c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 AND c.inv = 0 AS complete
   FROM o JOIN c USING (category, batch_no)),
@@ -256,14 +260,18 @@ def _(t):
 
 
 PAIR = "CASE WHEN {ok} THEN concat({a}, ' → ', {c}) END AS {name}"
-PERCENT = "printf('%.4f%%', {0}::DOUBLE / {1} * 100)"
+PERCENT = "printf('%.4f%%', {0} * 100)"
+
+
+def pair_sql(metric, name, percent=False):
+    old, new = f"official_{metric}", f"candidate_{metric}"
+    a, c = [PERCENT.format(v) if percent else v for v in (old, new)]
+    return PAIR.format(ok=f"ok AND {old} IS NOT NULL AND {new} IS NOT NULL", a=a, c=c, name=name)
 
 
 @query("gate_pairs", f"""WITH {VERDICT}, ru AS (SELECT *, batch_no % 5 <> 0 AS ok FROM verdict) SELECT category, batch_no,
-  {PAIR.format(ok='ok', a='official_fn', c='candidate_fn', name='fn_pair')}, {PAIR.format(ok='ok', a='official_fp', c='candidate_fp', name='fp_pair')},
-  {PAIR.format(ok='ok AND official_union > 0 AND candidate_union > 0', a=PERCENT.format('official_intersection', 'official_union'), c=PERCENT.format('candidate_intersection', 'candidate_union'), name='iou_pair')},
-  {PAIR.format(ok='ok', a='official_error_cost', c='candidate_error_cost', name='cost_pair')},
-  {PAIR.format(ok='ok AND official_total > 0 AND candidate_total > 0', a=PERCENT.format('official_matched', 'official_total'), c=PERCENT.format('candidate_matched', 'candidate_total'), name='t5_pair')}
+  {pair_sql('fn', 'fn_pair')}, {pair_sql('fp', 'fp_pair')}, {pair_sql('iou_micro', 'iou_pair', True)}, {pair_sql('error_cost', 'cost_pair')},
+  {pair_sql('tolerant_agreement_micro', 't5_pair', True)}
 FROM ru""")
 def _(t):
     ruled = verdicts(t).withColumn("rule", F.when(F.col("batch_no") % 5 != 0, F.lit(PROMOTION_RULE)).otherwise("shadow_iou_v1"))
