@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import url_filter
+from loupeline.llm import html_text, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +48,8 @@ SELECT page_id, host, path, CASE {rule} END AS rule, ({listed}) AS listed,
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     sites = spark.createDataFrame([(site,) for site in BLOCKED_SITES], "key string")
     return url_filter.judge_urls(read(spark, folder, "pages").select("page_id", "url"), URL_RULES, sites).drop("url")
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_main_text(read(spark, folder, "pages").select("page_id", "url", "html"))
