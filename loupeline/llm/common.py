@@ -134,3 +134,17 @@ class Group:
 def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=schema.field(n).type)
                                        for n, c in columns.items()], schema=pa.schema([schema.field(n) for n in columns]))
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch whose texts hold about ``limit`` bytes, or one longer text."""
+    import pyarrow.compute as pc
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    first, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and total + size > limit:
+            yield batch.slice(first, i - first)
+            first, total = i, 0
+        total += int(size)
+    if first < len(sizes):
+        yield batch.slice(first)

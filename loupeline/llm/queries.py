@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import html_text, url_filter
+from loupeline.llm import html_text, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,13 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_html_text")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_main_text(read(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), tokenizer_path(), size=2048, end_id=0)
