@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 GROUP_BYTES = 2 << 20
 MULTIPLIER = 0x9E3779B97F4A7C1B  # odd and 3 modulo 8, so that its powers differ in low bits
@@ -148,3 +149,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = GROUP_BYTES) -> Iter
         total += int(size)
     if first < len(sizes):
         yield batch.slice(first)
+
+
+def with_columns(df: DataFrame, text: str, keep: list[str], added: str, compute, limit: int = GROUP_BYTES) -> DataFrame:
+    """``keep`` columns of ``df`` and the ``added`` ones that ``compute`` makes from lists of UTF-8 texts.
+
+    Added names replace kept ones. Texts reach ``compute`` in parts of about ``limit`` bytes.
+    """
+    fields = [part.strip().rsplit(" ", 1) for part in added.split(",")]
+    new = [name for name, _ in fields]
+    kept = [c for c in keep if c not in new]
+    given = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").cast("string").alias("_text"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "_text"), added])
+    kinds = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", limit):
+                made = compute(raw(part.column("_text")))
+                columns = [pa.array(values, kinds.get(kind)) for values, (_, kind) in zip(made, fields)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *columns], names=[*kept, *new])
+
+    return given.mapInArrow(run, schema)

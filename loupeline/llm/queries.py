@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import html_text, packing, url_filter
+from loupeline.llm import html_text, language, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,16 @@ def tokenizer_path() -> str:
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_path(), size=2048, end_id=0)
+
+
+def remainder(n: int):
+    """crc32 of the document number as text, modulo ``n``; null for a null number."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = language.learn(docs.where(remainder(4) != 2))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
