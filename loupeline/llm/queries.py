@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import html_text, language, packing, url_filter
+from loupeline.llm import html_text, language, packing, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     model = language.learn(docs.where(remainder(4) != 2))
     held_out = F.coalesce(remainder(4) == 2, F.lit(False))
     return language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
+
+
+@query("op7_simhash_near_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
