@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import html_text, language, packing, simhash, url_filter
+from loupeline.llm import decontamination, html_text, language, packing, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,3 +82,25 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+_WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+DECONTAMINATION_SQL = f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '{_WORDS}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '{_WORDS}') AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS p FROM starts),
+sizes AS (SELECT DISTINCT n FROM phrases),
+windows AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS p FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT doc_id, s, n, item_id FROM windows JOIN phrases USING (n, p)),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS word FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query("op2_benchmark_decontamination", DECONTAMINATION_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.decontaminate(read(spark, folder, "documents"), read(spark, folder, "benchmark"), keep=["doc_id"], clean=False)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
