@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import decontamination, html_text, language, packing, simhash, url_filter
+from loupeline.llm import decontamination, html_text, language, packing, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +104,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.decontaminate(read(spark, folder, "documents"), read(spark, folder, "benchmark"), keep=["doc_id"], clean=False)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(x, {5 * (k // 4) + 1}, 5))::BIGINT >> {15 - 5 * (k % 4)} & 31)::INT + 1, 1)" for k in range(32))
+
+WARC_SQL = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+newest AS (SELECT x, max(page_id) AS newest FROM p GROUP BY x)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to FROM p JOIN newest USING (x)"""
+
+
+@query("op8_warc", WARC_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write_archives(read(spark, folder, "pages"))
+    found = warc.resolve_revisits(warc.read_archives(spark, manifest))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
