@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import decontamination, html_text, language, packing, simhash, url_filter, warc
+from loupeline.llm import decontamination, html_text, language, packing, quality, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     manifest = warc.write_archives(read(spark, folder, "pages"))
     found = warc.resolve_revisits(warc.read_archives(spark, manifest))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    network = quality.learn(docs, read(spark, folder, "labels"), "quality", remainder(5) != 0)
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    scored = quality.classify(docs.select("doc_id", held_out.alias("held_out"), "text"), network, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
