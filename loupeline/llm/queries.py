@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import decontamination, html_text, language, packing, quality, simhash, url_filter, warc
+from loupeline.llm import decontamination, html_text, language, neighbours, packing, quality, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
     scored = quality.classify(docs.select("doc_id", held_out.alias("held_out"), "text"), network, keep=["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op5_nearest_neighbours")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
