@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import decontamination, html_text, language, neighbours, packing, quality, simhash, url_filter, warc
+from loupeline.llm import decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,3 +133,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_nearest_neighbours")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+_SPACES = "[\\x20\\x09-\\x0D]+"
+
+SUBSTRING_SQL = """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+repeated AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY p ORDER BY doc_id, s) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM repeated),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op3_substring_dedup", SUBSTRING_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(read(spark, folder, "documents"), keep=["doc_id"])
+    words = F.regexp_replace(F.regexp_replace(F.coalesce("kept_text", F.lit("")), _SPACES, " "), "^ | $", "")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
