@@ -51,7 +51,10 @@ def reviewed(t):
         F.when(k % 103 == 0, "unknown_reviewer").otherwise(source).alias("label_source"), F.col("official").alias("model_decision"),
         F.when(source == "sampling_pseudo_ok", "OK").when(source == "model_assumed_review", F.col("official")).otherwise(
             F.col("truth")).alias("reviewed_decision"), (k % 31 != 0).alias("mask_ok"))
-    return l.apply_review(rows.select("sample_id", *KEYS, "created_at"), reviews)
+    earlier = k % 7 == 0  # samples that an earlier batch has already reviewed
+    samples = rows.select("sample_id", *KEYS, "created_at", F.when(earlier, "NG").alias("reviewed_decision"),
+                          F.when(earlier, "human_review").alias("label_source"), F.when(earlier, F.concat(F.lit("old/"), k.cast("string"))).alias("mask_path"))
+    return l.apply_review(samples, reviews.withColumn("mask_path", F.when(F.col("mask_ok"), F.concat(F.lit("new/"), k.cast("string")))))
 
 
 @query("apply_review", f"WITH {REVIEWS} {REVIEW_POOLS}")
@@ -59,6 +62,15 @@ def _(t):
     return reviewed(t)["membership"]
 
 
+@query("apply_review_samples", f"""WITH {REVIEWS} SELECT d.sample_id, d.category, d.batch_no,
+  CASE WHEN g.sample_id IS NOT NULL THEN g.reviewed_decision WHEN d.sample_id % 7 = 0 THEN 'NG' END AS reviewed_decision,
+  CASE WHEN g.sample_id IS NOT NULL THEN g.label_source WHEN d.sample_id % 7 = 0 THEN 'human_review' END AS label_source,
+  CASE WHEN g.sample_id IS NOT NULL THEN CASE WHEN g.mask_ok THEN concat('new/', d.sample_id) END WHEN d.sample_id % 7 = 0 THEN concat('old/', d.sample_id) END AS mask_path
+FROM dec d LEFT JOIN good g USING (sample_id)""")
+def _(t):
+    return reviewed(t)["samples"].select("sample_id", *KEYS, "reviewed_decision", "label_source", "mask_path")
+
+
 @query("apply_review_rejects", f"""WITH {REVIEWS} SELECT sample_id, concat_ws(',', CASE WHEN sample_id >= 1000000000000 THEN 'unknown_sample' END,
   CASE WHEN label_source = 'unknown_reviewer' THEN 'unrecognized_label_source' END) AS error FROM rv WHERE sample_id >= 1000000000000 OR label_source = 'unknown_reviewer'""")
 def _(t):
@@ -66,7 +78,7 @@ def _(t):
 
 
 @query("pool_counts", f"""WITH {REVIEWS}, mb AS ({REVIEW_POOLS} UNION ALL {ROUTED}), p(pool) AS (VALUES {", ".join(f"('{p}')" for p in l.POOLS)})
-SELECT c.category, p.pool, count(mb.sample_id) AS n FROM (SELECT DISTINCT category FROM dec) c CROSS JOIN p
+SELECT c.category, p.pool, count(DISTINCT mb.sample_id) AS n FROM (SELECT DISTINCT category FROM dec) c CROSS JOIN p
 LEFT JOIN mb ON mb.category = c.category AND mb.pool = p.pool GROUP BY 1, 2""")
 def _(t):
     membership = reviewed(t)["membership"].unionByName(l.route_pools(predictions(t)))

@@ -15,14 +15,11 @@ from loupeline.session import scratch
 from loupeline.sources import bindings as b
 from loupeline.streaming import counters, ingest
 
-FILES = 4
-
-
-def as_stream(t, rows, name):
-    """``rows`` written as a few files and read back as a stream, one file per micro-batch."""
+def as_stream(t, rows, name, files_per_trigger=2):
+    """``rows`` written in the partitions they have and read back as a stream, some files per micro-batch."""
     path = scratch(t.spark, name)
-    rows.repartition(FILES).write.parquet(path)
-    return ingest.stream_files(t.spark, path, rows.schema)
+    rows.write.parquet(path)
+    return ingest.stream_files(t.spark, path, rows.schema, files_per_trigger)
 
 
 def run_to_table(t, stream, name):
@@ -50,6 +47,16 @@ def _(t):
     return t.spark.read.parquet(store).select("category", "sha256")
 
 
+@query("ingest_two_checkpoints", f"""WITH {b.ARRIVALS} SELECT category, sha256, coalesce(min(sample_id) FILTER (batch_no <= 15), min(sample_id)) AS sample_id FROM arr GROUP BY 1, 2""")
+def _(t):
+    """Two streams with checkpoints of their own feed one store: the second adds only what the first lacks."""
+    store, arrivals = scratch(t.spark, "store"), b.arrivals(t)
+    for i, part in enumerate(("batch_no <= 15", "true")):
+        rows = arrivals.filter(part).select("sample_id", "category", "sha256").coalesce(1)
+        ingest.ingest_against_store(as_stream(t, rows, f"arrivals-{i}"), store, scratch(t.spark, f"store-checkpoint-{i}"))
+    return t.spark.read.parquet(store).select("category", "sha256", "sample_id")
+
+
 @query("route_pools_stream", f"WITH {b.DECISIONS} {pl.ROUTED}")
 def _(t):
     rows = pl.predictions(t).select("sample_id", "category", "official", "is_boundary", "is_conflict")
@@ -70,7 +77,7 @@ def _(t):
     rows = b.arrivals(t).select("sample_id", "category", "batch_no")
     for part in ("batch_no <= 15", "batch_no > 15"):
         rows.filter(part).write.mode("append").parquet(path)
-        stream = ingest.stream_files(t.spark, path, rows.schema)
+        stream = ingest.stream_files(t.spark, path, rows.schema, 2)
         ingest.run_available(stream.writeStream.format("parquet").option("path", out), checkpoint)
     return t.spark.read.parquet(out).select("sample_id", "category")
 

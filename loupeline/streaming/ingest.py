@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
-def stream_files(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    """Parquet files of a folder as a stream, a fixed number per micro-batch."""
+def stream_files(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int) -> DataFrame:
+    """Parquet files of a folder as a stream; ``files_per_trigger`` sets the size of a micro-batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
@@ -25,26 +25,38 @@ def ingest_dedup(source: DataFrame, output: str, checkpoint: str, on=("category"
     return run_available(source.dropDuplicates(list(on)).writeStream.format("parquet").option("path", output), checkpoint)
 
 
-def ingest_against_store(source: DataFrame, store: str, checkpoint: str, on=("category", "sha256")) -> StreamingQuery:
-    """Table form: each micro-batch keeps what no earlier micro-batch stored.
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity that Spark keeps in a checkpoint: the same after a restart, another for a new checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
-    A micro-batch owns one ``batch_id`` folder and compares only with lower ids, so a replay rewrites the same rows.
+
+def ingest_against_store(source: DataFrame, store: str, checkpoint: str, on=("category", "sha256"), first: str = "sample_id") -> StreamingQuery:
+    """Table form: each micro-batch keeps what no other micro-batch of any stream has stored.
+
+    A micro-batch owns the folder of its stream and number, so a replay rewrites its own rows only, and a stream with a
+    new checkpoint adds to the store instead of replacing it. Of equal contents the smallest ``first`` is accepted, whatever
+    the order of arrival inside the micro-batch. Only the key columns of the store are read.
     """
     keys = list(on)
+    rest = [c for c in source.columns if c not in (*keys, first)]
+    # an empty part gives the store its schema before anything is accepted
+    source.sparkSession.createDataFrame([], source.schema).write.mode("overwrite").parquet(f"{store}/stream_id=none/batch_id=-1")
 
     def accept(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(keys)
-        if batch_id > 0:
-            stored = batch.sparkSession.read.parquet(store).filter(F.col("batch_id") < batch_id)
-            fresh = fresh.join(stored.select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        own = stream_id(batch.sparkSession, checkpoint)
+        least = F.min(F.struct(first, *rest)).alias("_row")
+        others = batch.sparkSession.read.schema(f"{batch.schema.simpleString()[7:-1].replace(':', ' ')}, stream_id string, batch_id bigint").parquet(store).filter(
+            ~((F.col("stream_id") == own) & (F.col("batch_id") == batch_id)))
+        fresh = batch.groupBy(*keys).agg(least).select(*keys, "_row.*").join(others.select(*keys), keys, "left_anti")
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{store}/stream_id={own}/batch_id={batch_id}")
 
     return run_available(source.writeStream.foreachBatch(accept), checkpoint)
 
 
 def event_log(source: DataFrame, log: str, checkpoint: str, event: str, columns: list[str]) -> StreamingQuery:
-    """Append-only event log, one folder per micro-batch so that a replay replaces its own events only."""
+    """Append-only event log, one folder per stream and micro-batch so that a replay replaces its own events only."""
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.lit(event).alias("event"), *columns).write.mode("overwrite").parquet(f"{log}/event_batch={batch_id}")
+        own = stream_id(batch.sparkSession, checkpoint)
+        batch.select(F.lit(event).alias("event"), *columns).write.mode("overwrite").parquet(f"{log}/stream_id={own}/event_batch={batch_id}")
 
     return run_available(source.writeStream.foreachBatch(append), checkpoint)
