@@ -42,7 +42,8 @@ def ok_quantile_threshold(rows: DataFrame, keys: Sequence[str], score, quantile:
 
 
 def ladder_from(run: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = LADDER_QUANTILES) -> DataFrame:
-    """Highest OK quantile that still catches every NG, else the lowest rung."""
+    """Highest OK quantile that still catches every NG, else the lowest rung. Without NG or OK there is no threshold to choose and all
+    but the counts is NULL."""
     def rung(q):
         reached = F.col("neg_upto") > higher_index(F.col("n"), F.lit(float(q)))
         best = F.min(F.when(reached, F.struct("score", (F.col("pos_upto") - F.col("pos")).alias("missed"))))
@@ -52,9 +53,10 @@ def ladder_from(run: DataFrame, keys: Sequence[str], quantiles: Sequence[float]
                                    F.max("n").alias("calibration_ok"), F.max("p").alias("calibration_ng"))
     fitting = F.filter("rungs", lambda r: r["missed"] == 0)
     chosen = F.when(F.size(fitting) > 0, F.element_at(fitting, -1)).otherwise(F.element_at("rungs", 1))
-    return rungs.withColumn("chosen", chosen).select(
+    both = (F.col("calibration_ok") > 0) & (F.col("calibration_ng") > 0)
+    return rungs.withColumn("chosen", F.when(both, chosen)).select(
         *keys, F.col("chosen.t").alias("threshold"), F.col("chosen.q").alias("quantile"),
-        (F.size(fitting) > 0).alias("all_ng_caught"), F.col("chosen.missed").alias("ng_missed_at_fallback"),
+        F.when(both, F.size(fitting) > 0).alias("all_ng_caught"), F.col("chosen.missed").alias("ng_missed_at_fallback"),
         "calibration_ok", "calibration_ng")
 
 
@@ -98,21 +100,23 @@ def _pick(best: Column) -> dict[str, Column]:
 
 def recall_first(sweep: DataFrame, keys: Sequence[str], target: float | Column = 0.95,
                  max_fpr: float | Column = 0.2) -> DataFrame:
-    """Recall-first choice with Youden fallback, both under the FPR cap."""
+    """Recall-first choice with Youden fallback, both under the FPR cap. A group without NG or without OK is refused: it has
+    a status and no threshold."""
     target = target if isinstance(target, Column) else F.lit(float(target))
     cap = max_fpr if isinstance(max_fpr, Column) else F.lit(float(max_fpr))
     fpr, recall, t = F.col("ok_false_positive_rate"), F.col("recall"), F.col("threshold")
     youden = F.max(F.when(fpr <= cap, F.struct((recall - fpr).alias("gain"), recall.alias("recall"), t.alias("t"),
                                                fpr.alias("fpr"), F.col("fn").alias("fn"))))
     best = sweep.groupBy(*keys).agg(_low_fpr((fpr <= cap) & (recall >= target)).alias("e"), youden.alias("y"),
-                                    F.min(F.when(recall >= target, fpr)).alias("uncapped_fpr"), F.max(cap).alias("cap"))
-    reached = F.col("e").isNotNull()
+                                    F.min(F.when(recall >= target, fpr)).alias("uncapped_fpr"), F.max(cap).alias("cap"),
+                                    ((F.max(F.col("tp") + F.col("fn")) == 0) | (F.max(F.col("fp") + F.col("tn")) == 0)).alias("one_class"))
+    reached = F.col("e").isNotNull() & ~F.col("one_class")
     eligible = _pick(F.col("e"))
     fallback = {"threshold": F.col("y.t"), "recall": F.col("y.recall"), "ok_false_positive_rate": F.col("y.fpr"),
                 "ng_below_threshold": F.col("y.fn")}
     return best.select(
-        *keys, *[F.when(reached, eligible[c]).otherwise(fallback[c]).alias(c) for c in fallback],
-        F.when(reached, "target_recall_achieved")
+        *keys, *[F.when(reached, eligible[c]).when(~F.col("one_class"), fallback[c]).alias(c) for c in fallback],
+        F.when(F.col("one_class"), "refused_one_class").when(reached, "target_recall_achieved")
          .otherwise("target_recall_unreachable_under_cap_youden_fallback").alias("status"),
         reached.alias("reachable_under_cap"),
         F.coalesce(F.col("uncapped_fpr") > F.col("cap"), F.lit(False)).alias("fpr_cap_binding"))
@@ -191,13 +195,13 @@ def mask_conf_threshold(curve: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def recalibration_due(batches: DataFrame, key: str, order: str, ng: str, every: int = 5) -> DataFrame:
-    """Batches after which the threshold is chosen again: the first one, and each that crosses a multiple of ``every``.
+    """Batches after which the threshold is chosen again: each that crosses a multiple of ``every`` labelled NG.
 
-    The last calibrated count always shares its multiple with the previous running count, so no state is needed.
+    The first threshold is chosen before the first batch, at a count of zero. The last calibrated count always shares its
+    multiple with the previous running count, so no state is needed.
     """
-    run = running_totals(batches.withColumn("_one", F.lit(1).cast("bigint")), [key], [F.col(order)],
-                         {"n_ng": ng, "_seq": "_one"})
-    before = F.when(F.col("_seq") == 1, F.lit(-1)).otherwise(F.col("n_ng") - F.col(ng))
+    run = running_totals(batches, [key], [F.col(order)], {"n_ng": ng})
+    before = F.col("n_ng") - F.col(ng)
     return run.select(key, order, "n_ng", (F.floor(F.col("n_ng") / every) > F.floor(before / every)).alias("due"))
 
 
@@ -207,10 +211,12 @@ def threshold_history(calibrations: DataFrame, key: str, order: str) -> DataFram
                          {"previous_threshold": "threshold", "previous_" + order: order})
 
 
-def pixel_threshold(pixels: DataFrame, keys: Sequence[str], image: str, value: str, token: Column,
-                    per_image: int = 20000, quantile: float = 0.997) -> DataFrame:
-    """Quantile of OK pixels, each image contributing at most ``per_image`` seeded picks (images are bounded)."""
-    order = Window.partitionBy(image).orderBy(F.sha2(token, 256))
-    sampled = pixels.withColumn("_pick", F.row_number().over(order)).filter(F.col("_pick") <= per_image)
-    return quantile_higher(sampled, keys, value, [quantile]).select(
+def pixel_threshold(pixels: DataFrame, keys: Sequence[str], image: str, value: str, token: Column | None = None,
+                    per_image: int | None = None, quantile: float = 0.997) -> DataFrame:
+    """Quantile of all OK pixels. Only on request (``per_image`` and a ``token`` to order by) does an image contribute a seeded
+    sample of so many pixels."""
+    if per_image is not None:
+        order = Window.partitionBy(image).orderBy(F.sha2(token, 256))
+        pixels = pixels.withColumn("_pick", F.row_number().over(order)).filter(F.col("_pick") <= per_image)
+    return quantile_higher(pixels, keys, value, [quantile]).select(
         *keys, F.col("q").alias("quantile"), F.col("value").alias("pixel_threshold"))

@@ -66,7 +66,7 @@ def gate_counts(rows: DataFrame, predicted_ng="predicted_ng") -> DataFrame:
     """End-to-end counts of valid rows: an image called OK contributes its whole ground truth as a miss."""
     hit = col(predicted_ng)
     zero = F.lit(0).cast("bigint")
-    return rows.filter(F.col("gt_status") == "valid").withColumns({
+    return rows.filter(F.coalesce(F.col("gt_status") == "valid", F.lit(False))).withColumns({
         "intersection": F.when(hit, F.col("intersection")).otherwise(zero),
         "union": F.when(hit, F.col("union")).otherwise(F.col("gt_pixels")),
         "predicted_pixels": F.when(hit, F.col("predicted_pixels")).otherwise(zero),
@@ -87,7 +87,7 @@ def segmentation_aggregates(predicted_ng="predicted_ng") -> list[Column]:
     gt, pred = F.col("gt_pixels"), F.col("predicted_pixels")
     return [
         F.count_if(valid).alias("segmentation_valid_ng"),
-        F.count_if(~F.col("gt_status").isin("valid", "outside_roi", "not_required")).alias("segmentation_invalid_ng"),
+        F.count_if(~F.coalesce(F.col("gt_status").isin("valid", "outside_roi", "not_required"), F.lit(False))).alias("segmentation_invalid_ng"),
         total(F.col("intersection"), zero).alias("intersection"),
         total(F.col("union"), gt).alias("union"),
         total(gt + pred, gt).alias("pixels"),
@@ -134,11 +134,17 @@ def case_counts(cases: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latency_stats(rows: DataFrame, keys: Sequence[str], latency: str) -> DataFrame:
-    """Mean and linearly interpolated 95th percentile.
+    """Mean and linearly interpolated 95th percentile; a group without latencies has NULLs.
 
-    ``percentile`` keeps one counter per distinct latency, merged map-side, not one entry per row.
+    The percentile is read off running counts of distinct latencies, so no task holds the latencies of a group.
     """
-    return rows.groupBy(*keys).agg(F.avg(latency).alias("mean_ms"), F.percentile(latency, F.lit(0.95)).alias("p95_ms"))
+    counts = rows.groupBy(*keys, F.col(latency).alias("_v")).agg(F.count(F.col(latency)).alias("_c"))
+    run = running_totals(counts, keys, [F.col("_v")], {"_upto": "_c"}, {"_n": "_c"})
+    at = (F.col("_n") - 1) * F.lit(0.95)
+    low, high = F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v"))), F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v")))
+    share = F.max(at - F.floor(at))
+    mean = F.sum(F.col("_v") * F.col("_c")) / F.max("_n")
+    return run.groupBy(*keys).agg(mean.alias("mean_ms"), (low + (high - low) * share).alias("p95_ms"))
 
 
 def zero_filled_counts(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -147,14 +153,15 @@ def zero_filled_counts(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> D
     return keys.join(counts, list(on), "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
 
 
-def cohort_fingerprint(rows: DataFrame, keys: Sequence[str], sha: str, digits: int = 12) -> DataFrame:
+def cohort_fingerprint(rows: DataFrame, keys: Sequence[str], sha: str, digits: int = 12, settings: str | None = None) -> DataFrame:
     """Order-free identity of a multiset of content hashes.
 
-    Four 60-bit slices of every hash are summed. Sums combine map-side and never gather a cohort in one place,
-    unlike a digest of the sorted list, and any added, lost or changed member moves them.
+    Four 64-bit slices of every hash are summed, all of its digits. Sums combine map-side and never gather a cohort in one place,
+    unlike a digest of the sorted list, and any added, lost or changed member moves them. ``settings``, if given, are part
+    of the identity.
     """
-    slices = [F.sum(F.conv(F.substring(sha, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).alias(f"s{i}")
+    slices = [F.sum(F.conv(F.substring(sha, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")).alias(f"s{i}")
               for i in range(4)]
     sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), *slices)
-    token = F.concat_ws(":", *[F.col(c).cast("string") for c in ("members", "s0", "s1", "s2", "s3")])
+    token = F.concat_ws(":", *[F.col(c).cast("string") for c in ("members", "s0", "s1", "s2", "s3")], *([F.lit(settings)] if settings else []))
     return sums.select(*keys, "members", F.substring(F.sha2(token, 256), 1, digits).alias("fingerprint"))

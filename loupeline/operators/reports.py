@@ -106,9 +106,17 @@ def model_artifact_check(trained: DataFrame, files: DataFrame, tests: DataFrame)
         F.col("_actual"))).alias("violations")).filter(F.col("violations") != "")
 
 
+def row_identity(parts: Sequence[Column]) -> Column:
+    """Digest of named values in canonical JSON: fixed order, explicit nulls."""
+    return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)
+
+
 def cache_identity(*parts: Column) -> Column:
-    """Identity of a cached score: everything the score depends on, so a change of any part misses."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts]), 256)
+    """Identity of a cached score: everything the score depends on, so a change of any part misses.
+
+    The parts are hashed as JSON, which keeps them apart and tells a NULL from any text.
+    """
+    return row_identity([p.cast("string").alias(f"p{i}") for i, p in enumerate(parts)])
 
 
 def score_cache_reuse(requests: DataFrame, cache: DataFrame, key: str = "identity") -> DataFrame:
@@ -128,7 +136,7 @@ def threshold_cache_valid(current: DataFrame, cached: DataFrame, parts: Sequence
 def feedback_unchanged(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Same rows before and after, by order-free fingerprints of every row."""
     def identity(rows, name):
-        row = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]), 256)
+        row = row_identity([F.col(c).cast("string").alias(c) for c in columns])
         return cohort_fingerprint(rows.withColumn("_row", row), keys, "_row").select(*keys, F.col("fingerprint").alias(name))
 
     both = identity(before, "before").join(identity(after, "after"), list(keys), "full_outer")

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loupeline.session import sized
+
 from loupeline.functions.decisions import METRIC_VERSION, TOLERANCE_PIXELS
 
 RUN = ("y", "x0", "x1")
@@ -87,15 +89,20 @@ def mask_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFr
 def roi_clip(runs: DataFrame, roi: DataFrame, category: str = "category", keep_unlisted: bool = True) -> DataFrame:
     """Runs cut to the ROI of their category; categories without an ROI pass through when ``keep_unlisted``.
 
-    ROI tables hold one image per category; their disjoint runs join on (category, y) with the overlap as residual.
+    ROI tables hold one image per category. Its pieces are stored per image row, so one join on (category, y) brings them to the
+    runs: a table of this size is broadcast by its known size and the runs are not shuffled at all. A category without
+    an ROI is recognised by a second such join, on the list of categories that have one.
     """
-    shape = roi.select(category, "y", F.col("x0").alias("_r0"), F.col("x1").alias("_r1"))
-    cut = runs.join(shape, [category, "y"]).filter((F.col("x0") <= F.col("_r1")) & (F.col("_r0") <= F.col("x1")))
-    inside = cut.withColumns({"x0": F.greatest("x0", "_r0"), "x1": F.least("x1", "_r1")}).drop("_r0", "_r1")
-    if not keep_unlisted:
-        return inside
-    free = runs.join(roi.select(category).distinct(), category, "left_anti")
-    return inside.unionByName(free.select(*inside.columns))
+    pieces = roi.select(category, "y", F.struct(F.col("x0").alias("r0"), F.col("x1").alias("r1")).alias("r"))
+    shape = sized(pieces.groupBy(category, "y").agg(F.collect_set("r").alias("_pieces")), "roi-rows")
+    listed = sized(roi.select(category).distinct().withColumn("_listed", F.lit(True)), "roi-categories")
+    whole = F.struct(F.col("x0").alias("r0"), F.col("x1").alias("r1"))
+    met = F.filter(F.coalesce("_pieces", F.array().cast("array<struct<r0:int,r1:int>>")), lambda p: (p["r0"] <= F.col("x1")) & (F.col("x0") <= p["r1"]))
+    chosen = F.when(F.col("_listed"), met)
+    if keep_unlisted:
+        chosen = chosen.otherwise(F.array(whole.cast("struct<r0:int,r1:int>")))
+    cut = runs.join(listed, category, "left").join(shape, [category, "y"], "left").withColumn("_p", F.explode(chosen))
+    return cut.withColumns({"x0": F.greatest("x0", "_p.r0"), "x1": F.least("x1", "_p.r1")}).drop("_listed", "_pieces", "_p").select(*runs.columns)
 
 
 def overlap_counts(gt: DataFrame, predictions: dict[str, DataFrame], keys: Sequence[str], height, width,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loupeline.functions.decisions import unit_hash
-from loupeline.operators.ordering import hash_rank, rank_within, seeded
+from loupeline.operators.ordering import hash_rank, rank_within, running_totals, seeded
 from loupeline.operators.review import half_even, top_ranked
 from loupeline.session import sized
 
@@ -131,44 +131,60 @@ def synthetic_quota(counts: DataFrame, cap: int = 20, per_real: float = 0.10, fr
 def area_targets(areas: DataFrame, category: str, area: str, budgets: DataFrame) -> DataFrame:
     """Quantiles of the real areas at (i + 0.5) / budget, linearly interpolated.
 
-    Areas are whole pixel counts over one ROI area, so ``percentile`` keeps at most one counter per pixel count.
+    Distinct areas get running counts from one range sort. A distinct area covers the ranks from its predecessor's
+    count to its own, so it is compared only with the targets that fall there: budgets are few and joined by size, and a row
+    gives as many rows as it has targets.
     """
-    spots = budgets.filter(F.col("budget") > 0).select(category, "budget", F.explode(
-        F.sequence(F.lit(0).cast("bigint"), F.col("budget") - 1)).alias("target_id"))
     sizes = areas.groupBy(category, area).agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(category).orderBy(area)
-    runs = sizes.withColumns({"_upto": F.sum("_c").over(upto), "_n": F.sum("_c").over(Window.partitionBy(category))})
-    at = (F.col("_n") - 1) * ((F.col("target_id") + 0.5) / F.col("budget"))
-    joined = runs.join(spots, category)
-    picked = joined.groupBy(category, "target_id").agg(
-        F.min(F.when(F.col("_upto") > F.floor(at), F.col(area))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > F.ceil(at), F.col(area))).alias("_hi"), F.max(at - F.floor(at)).alias("_w"))
+    runs = running_totals(sizes, [category], [F.col(area)], {"_upto": "_c"}, {"_n": "_c"})
+    budget, n = F.col("budget"), F.col("_n")
+    joined = runs.join(sized(budgets.filter(budget > 0).select(category, "budget"), "budgets"), category)
+
+    def place(i):
+        return (n - 1) * ((i + F.lit(0.5)) / budget)
+
+    # targets whose lower or upper neighbour rank is inside (_upto - _c, _upto]; one spare target on each side covers rounding
+    per_rank = budget / F.greatest(n - 1, F.lit(1))
+    first = F.greatest(F.floor((F.col("_upto") - F.col("_c") - 1) * per_rank - 0.5) - 1, F.lit(0).cast("bigint"))
+    last = F.least(F.ceil(F.col("_upto") * per_rank - 0.5) + 1, budget - 1)
+    near = joined.withColumn("target_id", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
+    at = place(F.col("target_id"))
+
+    def holds(rank):
+        return (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
+
+    picked = near.groupBy(category, "target_id").agg(
+        F.min(F.when(holds(F.floor(at)), F.col(area))).alias("_lo"), F.min(F.when(holds(F.ceil(at)), F.col(area))).alias("_hi"),
+        F.max(at - F.floor(at)).alias("_w")).filter("_lo IS NOT NULL")
     return picked.select(category, "target_id", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias("target"))
 
 
 def area_band_join(targets: DataFrame, items: DataFrame, category: str, factor: float) -> DataFrame:
     """Items whose area lies in [target / factor, target * factor], with their log distance.
 
-    A log bucket of width ``factor`` makes it an equi join: a match is in the target's bucket or a neighbour.
+    A log bucket of width ``factor`` (at least one per mille) makes it an equi join: a match is in the target's bucket or a neighbour.
+    Targets are few: they are stored, so that a join by their known size leaves the items where they are.
     """
     def bucket(value):
-        return F.floor(F.ln(value) / F.ln(F.lit(factor)))
+        return F.floor(F.ln(value) / F.ln(F.lit(max(factor, 1.001))))
 
-    left = targets.withColumn("_bucket", F.explode(F.array(*[bucket(F.col("target")) + d for d in (-1, 0, 1)])))
+    left = sized(targets.withColumn("_bucket", F.explode(F.array(*[bucket(F.col("target")) + d for d in (-1, 0, 1)]))), "targets")
     right = items.withColumn("_bucket", bucket(F.col("area")))
     inside = (F.col("area") >= F.col("target") / F.lit(factor)) & (F.col("area") <= F.col("target") * F.lit(factor))
     return left.join(right, [category, "_bucket"]).filter(inside).withColumn(
         "log_distance", F.abs(F.ln(F.col("area") / F.col("target")))).drop("_bucket")
 
 
-def area_match_select(targets: DataFrame, items: DataFrame, category: str, budget_cap: int, factor: float) -> DataFrame:
-    """Targets in order each take the nearest unused item of their band, ties by ``item_id``.
+def area_match_select(targets: DataFrame, items: DataFrame, category: str, factor: float, tie: str = "item_id") -> DataFrame:
+    """Targets in order each take the nearest unused item of their band, ties by ``tie`` and then ``item_id``.
 
-    Earlier targets use up at most ``budget_cap - 1`` items, so a target's choice is always among its nearest
-    ``budget_cap``; that exact shortlist (at most ``budget_cap ** 2`` rows) is settled per category.
+    Only items with an area strictly between 0 and 1 are taken. Earlier targets use up at most one item each, so a target's
+    choice is always among its nearest as many as its category has targets; that exact shortlist is settled per category.
     """
-    pairs = area_band_join(targets, items, category, factor)
-    short = top_ranked(pairs, [category, "target_id"], [F.col("log_distance"), F.col("item_id")], budget_cap, "_near")
+    counts = targets.groupBy(category).agg(F.count(F.lit(1)).alias("_targets"))
+    pairs = area_band_join(targets.join(counts, category), items.filter((F.col("area") > 0) & (F.col("area") < 1)), category, factor)
+    nearest = Window.partitionBy(category, "target_id").orderBy(*dict.fromkeys(["log_distance", tie, "item_id"]))
+    short = pairs.withColumn("_near", F.row_number().over(nearest)).filter(F.col("_near") <= F.col("_targets")).drop("_targets")
 
     def settle(frame):
         used, keep = set(), []

@@ -192,7 +192,7 @@ def _(t):
   FROM dec WHERE label_source IN ('human_review', 'folder_ground_truth') GROUP BY 1, 2),
 r AS (SELECT category, batch_no, CAST(sum(ng) OVER (PARTITION BY category ORDER BY batch_no) AS BIGINT) AS n_ng FROM g)
 SELECT category, batch_no, n_ng, floor(n_ng / 5.0::DOUBLE) >
-  floor(coalesce(lag(n_ng) OVER (PARTITION BY category ORDER BY batch_no), -1) / 5.0::DOUBLE) AS due FROM r""")
+  floor(coalesce(lag(n_ng) OVER (PARTITION BY category ORDER BY batch_no), 0) / 5.0::DOUBLE) AS due FROM r""")
 def _(t):
     verified = b.decisions(t).filter(F.col("label_source").isin("human_review", "folder_ground_truth"))
     batches = verified.groupBy("category", "batch_no").agg(F.count_if(F.col("truth") == "NG").alias("ng"))
@@ -209,15 +209,12 @@ def _(t):
     return c.threshold_history(calibrations, "category", "batch_no")
 
 
-@query("pixel_threshold", """WITH px AS (SELECT l_orderkey AS image, CAST(l_linenumber AS BIGINT) AS category, l_extendedprice AS value,
-    sha256(concat_ws(':', '42', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h FROM lineitem WHERE l_returnflag <> 'R'),
-s AS (SELECT category, value, row_number() OVER (PARTITION BY image ORDER BY h) AS k FROM px),
+@query("pixel_threshold", """WITH px AS (SELECT CAST(l_linenumber AS BIGINT) AS category, l_extendedprice AS value FROM lineitem WHERE l_returnflag <> 'R'),
 o AS (SELECT category, value, row_number() OVER (PARTITION BY category ORDER BY value) - 1 AS i,
-  count(*) OVER (PARTITION BY category) AS n FROM s WHERE k <= 3)
+  count(*) OVER (PARTITION BY category) AS n FROM px)
 SELECT category, 0.997::DOUBLE AS quantile, value AS pixel_threshold FROM o WHERE i = ceil((n - 1) * 0.997::DOUBLE)""")
 def _(t):
     pixels = t.lineitem.filter("l_returnflag <> 'R'").select(
         F.col("l_orderkey").alias("image"), F.col("l_linenumber").cast("bigint").alias("category"),
-        F.col("l_extendedprice").alias("value"),
-        F.concat_ws(":", F.lit("42"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("token"))
-    return c.pixel_threshold(pixels, ["category"], "image", "value", F.col("token"), per_image=3)
+        F.col("l_extendedprice").alias("value"))
+    return c.pixel_threshold(pixels, ["category"], "image", "value")

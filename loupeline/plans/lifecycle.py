@@ -202,13 +202,17 @@ def _(t):
     return in_force(t)
 
 
-@query("history_events", f"""WITH {MODELS}, fl AS (SELECT category, batch_no, labeled_ng, floor(labeled_ng / 5.0::DOUBLE) > floor(coalesce(lag(labeled_ng) OVER (PARTITION BY category ORDER BY batch_no), -1) / 5.0::DOUBLE) AS due FROM rn)
-SELECT category, batch_no, 'pretrained_recalibrated' AS event, CAST(labeled_ng AS VARCHAR) AS detail FROM fl WHERE due UNION ALL
+@query("history_events", f"""WITH {MODELS}, fl AS (SELECT category, batch_no, labeled_ng, floor(labeled_ng / 5.0::DOUBLE) > floor(coalesce(lag(labeled_ng) OVER (PARTITION BY category ORDER BY batch_no), 0) / 5.0::DOUBLE) AS due FROM rn),
+tr AS (SELECT category, min(verdict_batch) AS since FROM mds WHERE status = 'promoted' GROUP BY 1)
+SELECT category, batch_no, 'pretrained_recalibrated' AS event, CAST(labeled_ng AS VARCHAR) AS detail FROM fl LEFT JOIN tr USING (category) WHERE due AND (since IS NULL OR batch_no <= since) UNION ALL
 SELECT category, start_batch, 'candidate_trained', version FROM mds UNION ALL SELECT category, verdict_batch, 'promoted', version FROM mds WHERE status = 'promoted' UNION ALL
 SELECT category, verdict_batch, 'rejected_shadow', version FROM mds WHERE status = 'rejected_shadow' UNION ALL SELECT category, next_start, 'superseded', version FROM mds WHERE status = 'superseded'""")
 def _(t):
-    recalibrated = recalibration_due(ng_batches(t), "category", "batch_no", "ng").filter("due").select(*KEYS, F.col("n_ng").cast("string").alias("detail"))
     status = l.superseded(models(t))
+    # once a trained model serves, the pretrained one is not calibrated any more
+    trained = status.filter("status = 'promoted'").groupBy("category").agg(F.min("verdict_batch").alias("since"))
+    due = recalibration_due(ng_batches(t), "category", "batch_no", "ng").filter("due").join(trained, "category", "left")
+    recalibrated = due.filter("since IS NULL OR batch_no <= since").select(*KEYS, F.col("n_ng").cast("string").alias("detail"))
 
     def at(batch, condition):
         return status.filter(condition).select("category", F.col(batch).alias("batch_no"), F.col("version").alias("detail"))

@@ -99,9 +99,9 @@ def _(t):
 
 
 @query("cohort_fingerprint", f"""WITH {b.CONTENTS}, s AS (SELECT category, count(*) AS members,
-    sum(CAST(concat('0x', substr(sha256, 1, 15)) AS HUGEINT)) s0, sum(CAST(concat('0x', substr(sha256, 16, 15)) AS HUGEINT)) s1,
-    sum(CAST(concat('0x', substr(sha256, 31, 15)) AS HUGEINT)) s2, sum(CAST(concat('0x', substr(sha256, 46, 15)) AS HUGEINT)) s3
+    sum(CAST(concat('0x', substr(sha256, 1, 16)) AS HUGEINT)) s0, sum(CAST(concat('0x', substr(sha256, 17, 16)) AS HUGEINT)) s1,
+    sum(CAST(concat('0x', substr(sha256, 33, 16)) AS HUGEINT)) s2, sum(CAST(concat('0x', substr(sha256, 49, 16)) AS HUGEINT)) s3
   FROM con GROUP BY 1)
-SELECT category, members, substr(sha256(concat_ws(':', members, s0, s1, s2, s3)), 1, 12) AS fingerprint FROM s""")
+SELECT category, members, substr(sha256(concat_ws(':', members, s0, s1, s2, s3, 'fraction=0.25;seed=42')), 1, 12) AS fingerprint FROM s""")
 def _(t):
-    return m.cohort_fingerprint(b.contents(t), ["category"], "sha256")
+    return m.cohort_fingerprint(b.contents(t), ["category"], "sha256", settings="fraction=0.25;seed=42")

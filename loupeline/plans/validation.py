@@ -205,4 +205,4 @@ g AS (SELECT DISTINCT category, -1::BIGINT AS target_id, CAST([] AS BIGINT[]) AS
   FROM g JOIN tl ON tl.category = g.category AND tl.target_id = g.target_id + 1)
 SELECT category, target_id, item_id FROM g WHERE target_id >= 0 AND item_id IS NOT NULL""")
 def _(t):
-    return s.area_match_select(targets(t), items(t), "category", 8, 2.0).select("category", "target_id", "item_id")
+    return s.area_match_select(targets(t), items(t), "category", 2.0).select("category", "target_id", "item_id")
