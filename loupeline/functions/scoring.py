@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loupeline.operators.vectors import SLAB_CELLS, nearest_bank
+
 
 class Scorer(Protocol):
     """What a plugin offers inside a task."""
@@ -25,9 +27,9 @@ def score_with(rows: DataFrame, factory: Callable[[], Scorer], schema: str) -> D
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = factory()
         try:
-            health = scorer.healthcheck()
-            if not health.get("ok"):
-                raise RuntimeError(f"scorer healthcheck failed: {health!r}")
+            state = scorer.healthcheck()
+            if state.get("ok") is not True:
+                raise RuntimeError("this task's scorer is not fit to score: " + ", ".join(f"{k}={v}" for k, v in sorted(state.items())))
             for frame in batches:
                 yield scorer.predict(frame)
         finally:
@@ -41,27 +43,34 @@ class BankScorer:
 
     def __init__(self, shared):
         self.bank = np.asarray(shared.value, dtype=np.float64)
+        self.slab = max(1, SLAB_CELLS // max(1, len(self.bank)))
 
     def healthcheck(self) -> dict[str, Any]:
         return {"ok": len(self.bank) > 0, "bank": len(self.bank)}
 
     def predict(self, frame: pd.DataFrame) -> pd.DataFrame:
         query = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
-        gap = (self.bank ** 2).sum(1)[None, :] - 2 * query @ self.bank.T
-        nearest = self.bank[gap.argmin(1)]
+        size = (self.bank ** 2).sum(1)[None, :]
+        hit = [(size - 2 * query[i:i + self.slab] @ self.bank.T).argmin(1) for i in range(0, len(query), self.slab)]
+        nearest = self.bank[np.concatenate(hit)] if hit else query
         return pd.DataFrame({"vec_id": frame["vec_id"], "score": np.linalg.norm(query - nearest, axis=1)})
 
     def close(self) -> None:
         self.bank = None
 
 
-def bank_scorer(bank: DataFrame, limit_bytes: int = 64 * 1024 * 1024) -> Callable[[], BankScorer]:
-    """Factory of bank scorers. Larger banks belong to the blocked ``nearest_bank`` join."""
-    rows, width = bank.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
-    if rows * width * 8 > limit_bytes:
-        raise ValueError(f"bank of {rows} vectors is too large to ship to tasks; use nearest_bank")
+def score_against_bank(rows: DataFrame, bank: DataFrame, limit_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """``vec_id, score``: distance to the nearest vector of a bank of any size.
+
+    A bank of a checked size is shipped to the tasks and used by a scorer there; a larger one goes through the blocked join.
+    """
+    count, width = bank.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
+    if count * width * 8 > limit_bytes:
+        one = F.lit(0).alias("_all")
+        hits = nearest_bank(rows.select("vec_id", "embedding", one), bank.select("vec_id", "embedding", one), "_all", broadcast_bytes=limit_bytes)
+        return hits.select("vec_id", F.col("distance").alias("score"))
     shared = bank.sparkSession.sparkContext.broadcast([list(r[0]) for r in bank.select("embedding").collect()])
-    return lambda: BankScorer(shared)
+    return score_with(rows, lambda: BankScorer(shared), "vec_id bigint, score double")
 
 
 PREDICT_SCHEMA = "score double, runs array<struct<y:int,x0:int,x1:int>>"

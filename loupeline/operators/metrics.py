@@ -49,6 +49,15 @@ def score_counts(rows: DataFrame, keys: Sequence[str], score, label_ng) -> DataF
         F.count_if(col(label_ng)).alias("pos"), F.count_if(~col(label_ng)).alias("neg"))
 
 
+def wins_at_score(rows: DataFrame, keys: Sequence[str], score, label_ng) -> DataFrame:
+    """For every distinct score: ``n`` negatives of the group, and twice the share of them that a positive with this score beats (``wins``).
+
+    Any subset of positives gets its AUROC against all negatives as sum(wins) / (2 * positives * n), without copying negatives.
+    """
+    run = running_totals(score_counts(rows, keys, score, label_ng), keys, [F.col("score")], {"neg_upto": "neg"}, {"n": "neg"})
+    return run.select(*keys, "score", "n", (2 * F.col("neg_upto") - F.col("neg")).cast("decimal(19,0)").alias("wins"))
+
+
 def auroc(rows: DataFrame, keys: Sequence[str], score, label_ng) -> DataFrame:
     """P(pos > neg) + P(pos = neg) / 2, NULL when one class is absent.
 

@@ -125,12 +125,12 @@ def score_cache_reuse(requests: DataFrame, cache: DataFrame, key: str = "identit
     return requests.join(stored, key, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
-def threshold_cache_valid(current: DataFrame, cached: DataFrame, parts: Sequence[str], key: str = "category") -> DataFrame:
+def threshold_cache_valid(current: DataFrame, cached: DataFrame, parts: Sequence[str], keys: Sequence[str] = ("category",)) -> DataFrame:
     """Thresholds may be reused when bank, calibration OK, rules and NG identities are all unchanged."""
-    old = cached.select(key, *[F.col(p).alias(f"_{p}") for p in parts], F.lit(True).alias("_found"))
-    joined = current.join(old, key, "left")
+    old = cached.select(*keys, *[F.col(p).alias(f"_{p}") for p in parts], F.lit(True).alias("_found"))
+    joined = current.join(old, list(keys), "left")
     changed = reasons(no_cache=F.col("_found").isNull(), **{p: F.col("_found").isNotNull() & ~F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts})
-    return joined.select(key, changed.alias("changed")).withColumn("valid", F.col("changed") == "")
+    return joined.select(*keys, changed.alias("changed")).withColumn("valid", F.col("changed") == "")
 
 
 def feedback_unchanged(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

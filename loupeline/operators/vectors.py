@@ -34,8 +34,17 @@ def _best(query: np.ndarray, bank: np.ndarray, bank_ids: np.ndarray, metric: str
         unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
         query, bank = unit(query), unit(bank)
     size, slab = (bank ** 2).sum(1)[None, :], max(1, SLAB_CELLS // len(bank))
-    hit = np.concatenate([(size - 2 * query[i:i + slab] @ bank.T).argmin(1) for i in range(0, len(query), slab)])
-    distance = np.linalg.norm(query - bank[hit], axis=1)
+    hit, distance = np.empty(len(query), dtype=np.int64), np.empty(len(query))
+    for at in range(0, len(query), slab):
+        part = query[at:at + slab]
+        gap = size - 2 * part @ bank.T
+        least = gap.min(1, keepdims=True)
+        # the product rounds, so all that come near the least are compared by their true difference
+        row, near = np.nonzero(gap <= least + 1e-9 * (1 + np.abs(least) + (part ** 2).sum(1, keepdims=True)))
+        true = np.linalg.norm(part[row] - bank[near], axis=1)
+        best = np.lexsort((near, true, row))
+        first = best[np.searchsorted(row[best], np.arange(len(part)))]
+        hit[at:at + slab], distance[at:at + slab] = near[first], true[first]
     return bank_ids[hit], distance if metric == "l2" else distance ** 2 / 2
 
 
@@ -50,13 +59,14 @@ def nearest_bank(queries: DataFrame, bank: DataFrame, category: str = "category"
     queries = queries.select("vec_id", category, "embedding")
     bank = bank.select("vec_id", category, "embedding")
 
-    def match(frame: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    def stacked(entries: pd.DataFrame) -> dict:
+        return {value: (_matrix(part["embedding"]), part["vec_id"].to_numpy()) for value, part in entries.groupby(category)}
+
+    def match(frame: pd.DataFrame, banks: dict) -> pd.DataFrame:
         out = [pd.DataFrame({"vec_id": [], category: [], "bank_id": [], "distance": []})]
-        banks = dict(list(entries.groupby(category)))
         for value, part in frame.groupby(category):
             if value in banks:
-                ids, distance = _best(_matrix(part["embedding"]), _matrix(banks[value]["embedding"]),
-                                      banks[value]["vec_id"].to_numpy(), metric)
+                ids, distance = _best(_matrix(part["embedding"]), *banks[value], metric)
                 out.append(pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), category: value, "bank_id": ids, "distance": distance}))
         return pd.concat(out[1:] or out, ignore_index=True)
 
@@ -64,17 +74,23 @@ def nearest_bank(queries: DataFrame, bank: DataFrame, category: str = "category"
         shared = queries.sparkSession.sparkContext.broadcast(bank.toPandas())
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            banks = stacked(shared.value)
             for frame in batches:
-                yield match(frame, shared.value)
+                yield match(frame, banks)
 
         return queries.mapInPandas(scan, schema)
 
-    blocks = -(-rows // block_rows)
-    chunks = -(-queries.count() // block_rows)
-    left = queries.withColumns({"_q": F.pmod(F.xxhash64("vec_id"), F.lit(chunks)), "_b": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
-    right = bank.withColumns({"_b": F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"),
-                              "_q": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))})
-    partial = left.groupBy("_q", "_b").cogroup(right.groupBy("_q", "_b")).applyInPandas(match, schema)
+    # every category is cut on its own, so a query meets only the blocks of its category
+    def cut(frame, name):
+        return frame.groupBy(category).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias(name))
+
+    sizes = sized(cut(queries, "_chunks").join(cut(bank, "_blocks"), category), "blocks")
+    mine = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = queries.join(sizes, category).withColumns({"_q": mine("_chunks"), "_b": every("_blocks")}).drop("_chunks", "_blocks")
+    right = bank.join(sizes, category).withColumns({"_b": mine("_blocks"), "_q": every("_chunks")}).drop("_chunks", "_blocks")
+    keys = (category, "_q", "_b")
+    partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda a, b: match(a, stacked(b)), schema)
     best = partial.groupBy("vec_id", category).agg(F.min(F.struct("distance", "bank_id")).alias("best"))
     return best.select("vec_id", category, "best.bank_id", "best.distance")
 
@@ -162,27 +178,33 @@ def kcenter_select(vectors: DataFrame, k: int, dim: int, category: str = "catego
     return spark.createDataFrame(steps, f"{category} {types[category]}, rank bigint, vec_id bigint, distance double")
 
 
-def coreset_fraction(vectors: DataFrame, fraction: float, category: str = "category", shard_rows: int = 4096) -> DataFrame:
-    """Greedy coreset of ``ceil(fraction * n)`` vectors per shard: ``(category, vec_id)``.
+def coreset_fraction(vectors: DataFrame, fraction: float, category: str = "category", digits: int = 1) -> DataFrame:
+    """Coreset of exactly ``ceil(fraction * n)`` vectors of each category: ``(category, vec_id)``.
 
-    A category is hash-cut into shards of about ``shard_rows`` vectors and each shard runs the greedy selection, so
-    no task ever holds a whole bank. A category that fits one shard gets the exact greedy coreset.
+    The shard rule does not depend on the number of vectors: a vector belongs to the shard of the first ``digits`` hex digits of
+    the SHA-256 of its id (0: one shard, the whole category). The picks of a category are shared out over its shards in
+    shard order, each taking what rounds up so far. Inside a shard the vector nearest the mean comes first and then always the one
+    farthest from all before it. ``digits`` bounds a task: a shard holds about a ``16 ** digits`` th of a category.
     """
-    rows = vectors.select("vec_id", category, "embedding")
-    sizes = sized(rows.groupBy(category).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("_shards")), "shards")
-    sharded = rows.join(sizes, category).withColumn("_shard", F.pmod(F.xxhash64("vec_id"), F.col("_shards"))).drop("_shards")
+    rows = vectors.select("vec_id", category, "embedding").withColumn("_shard", F.substring(F.sha2(F.col("vec_id").cast("string"), 256), 1, digits))
+    counts = rows.groupBy(category, "_shard").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(category).orderBy("_shard")  # at most 16 ** digits rows
+    upto = F.sum("_n").over(order)
+    due = lambda n: F.ceil(n * F.lit(float(fraction))).cast("int")
+    sharded = rows.join(sized(counts.select(category, "_shard", (due(upto) - due(upto - F.col("_n"))).alias("_picks")), "picks"), [category, "_shard"])
 
     def greedy(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("vec_id")
-        matrix = _matrix(frame["embedding"])
-        center = matrix.mean(0)
-        picked = [int((matrix @ center).argmax())]
-        gain = 1.0 - matrix @ matrix[picked[0]]
-        for _ in range(int(np.ceil(len(frame) * fraction)) - 1):
-            gain[picked] = -1.0
-            picked.append(int(gain.argmax()))
-            gain = np.minimum(gain, 1.0 - matrix @ matrix[picked[-1]])
-        return frame.iloc[picked][[category, "vec_id"]]
+        left = frame.sort_values("vec_id").reset_index(drop=True)
+        unit, chosen = _matrix(left["embedding"]), []
+        open_ = np.ones(len(left), dtype=bool)
+        likeness = -(unit @ unit.mean(0))  # the first pick is the most central, the later ones the least covered
+        for step in range(int(left["_picks"].iloc[0])):
+            best = np.flatnonzero(open_)[likeness[open_].argmin()]
+            open_[best] = False
+            chosen.append(best)
+            covered = unit @ unit[best]
+            likeness = covered if step == 0 else np.maximum(likeness, covered)
+        return left.loc[chosen, [category, "vec_id"]]
 
     return sharded.groupBy(category, "_shard").applyInPandas(greedy, f"{category} {dict(rows.dtypes)[category]}, vec_id bigint")
 

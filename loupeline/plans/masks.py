@@ -58,13 +58,15 @@ def _(t):
 @query("binarize_mask", """WITH px AS (SELECT doc_id AS sample_id, doc_id % 2 = 0 AS external, unicode(unnest(string_split(text, ''))) AS v FROM documents)
 SELECT sample_id, external, count(*) AS pixels, count(*) FILTER (CASE WHEN external THEN v < 128 ELSE v >= 128 END) AS defect_pixels FROM px GROUP BY 1, 2""")
 def _(t):
-    """External masks mark defects dark, internal masks bright; counted without exploding the raster."""
-    bright = F.length(F.regexp_replace("text", r"[\x00-\x7f]", ""))
-    external = F.col("doc_id") % 2 == 0
-    size = F.length("text")
-    return t.documents.filter(size > 0).select(
-        F.col("doc_id").alias("sample_id"), external.alias("external"), size.cast("bigint").alias("pixels"),
-        F.when(external, size - bright).otherwise(bright).cast("bigint").alias("defect_pixels"))
+    """External masks mark defects dark, internal masks bright; the background class tells the operator which."""
+    rasters = t.documents.filter(F.length("text") > 0).select(F.col("doc_id").alias("sample_id"), "text", (F.col("doc_id") % 2 == 0).alias("external"))
+    runs = None
+    for external, background in ((True, r"\x{80}-\x{10FFFF}"), (False, r"\x00-\x7f")):
+        part = u.raster_to_runs(rasters.filter(F.col("external") == external), "sample_id", "text", 64, background)
+        runs = part if runs is None else runs.unionByName(part)
+    area = runs.groupBy("sample_id").agg(F.sum(u.length()).cast("bigint").alias("defect_pixels"))
+    return rasters.join(area, "sample_id", "left").select(
+        "sample_id", "external", F.length("text").cast("bigint").alias("pixels"), F.coalesce("defect_pixels", F.lit(0).cast("bigint")).alias("defect_pixels"))
 
 
 @query("mask_intersection", f"""WITH {PIX}, i AS (SELECT sample_id, count(*) AS n FROM gp JOIN pp USING (sample_id, y, x) GROUP BY 1),

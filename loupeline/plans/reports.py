@@ -183,13 +183,14 @@ def _(t):
 
 
 @query("threshold_cache_valid", f"""WITH {b.DECISIONS}, a AS (SELECT category, batch_no, CAST(sum(camera_id) AS BIGINT) AS bank, CAST(sum(sample_id) FILTER (truth = 'OK') AS BIGINT) AS ok, count(*) FILTER (truth = 'NG') AS ng FROM dec GROUP BY 1, 2),
-n AS (SELECT * FROM a WHERE batch_no = 6), o AS (SELECT * FROM a WHERE batch_no = 5)
-SELECT n.category, concat_ws(',', CASE WHEN o.category IS NULL THEN 'no_cache' END, CASE WHEN o.bank <> n.bank THEN 'bank' END, CASE WHEN o.ok IS DISTINCT FROM n.ok AND o.category IS NOT NULL THEN 'ok' END, CASE WHEN o.ng <> n.ng THEN 'ng' END) AS changed,
-  o.category IS NOT NULL AND o.bank = n.bank AND o.ok IS NOT DISTINCT FROM n.ok AND o.ng = n.ng AS valid FROM n LEFT JOIN o USING (category)""")
+n AS (SELECT * FROM a), o AS (SELECT * REPLACE (batch_no + 1 AS batch_no) FROM a)
+SELECT n.category, n.batch_no, concat_ws(',', CASE WHEN o.category IS NULL THEN 'no_cache' END, CASE WHEN o.bank <> n.bank THEN 'bank' END, CASE WHEN o.ok IS DISTINCT FROM n.ok AND o.category IS NOT NULL THEN 'ok' END, CASE WHEN o.ng <> n.ng THEN 'ng' END) AS changed,
+  o.category IS NOT NULL AND o.bank = n.bank AND o.ok IS NOT DISTINCT FROM n.ok AND o.ng = n.ng AS valid FROM n LEFT JOIN o ON o.category = n.category AND o.batch_no = n.batch_no""")
 def _(t):
+    """Every batch against the one before it."""
     parts = b.decisions(t).groupBy(*KEYS).agg(F.sum("camera_id").alias("bank"), F.sum(F.when(F.col("truth") == "OK", F.col("sample_id"))).alias("ok"),
                                               F.count_if(F.col("truth") == "NG").alias("ng"))
-    return rp.threshold_cache_valid(parts.filter("batch_no = 6"), parts.filter("batch_no = 5"), ("bank", "ok", "ng"))
+    return rp.threshold_cache_valid(parts, parts.withColumn("batch_no", F.col("batch_no") + 1), ("bank", "ok", "ng"), KEYS)
 
 
 @query("feedback_unchanged", f"""WITH {b.DECISIONS} SELECT category, NOT bool_or(sample_id % 5000 = 77 AND category = '1-URGENT') AS unchanged FROM dec GROUP BY 1""")
@@ -253,13 +254,11 @@ def _(t):
     """Each NG cohort judged against all OK of its category, per (category, NG count)."""
     rows = b.decisions(t).select("sample_id", "category", "truth", "score")
     ng = s.nested_prefix_cohorts(rows.filter("truth = 'NG'"), "category", seeded(42, F.col("sample_id")), (40, 60, 70, 80))
-    cohorts = ng.select("category", "ng_count").distinct()
-    ok = rows.filter("truth = 'OK'").join(cohorts, "category")
-    both = ng.select("category", "ng_count", "score", F.lit(True).alias("is_ng")).unionByName(ok.select("category", "ng_count", "score", F.lit(False).alias("is_ng")))
-    keys = ["category", "ng_count"]
-    counts = both.groupBy(*keys).agg(F.count_if(~F.col("is_ng")).alias("calibration_ok"),
-                                     (F.count_if(F.col("is_ng") & (F.col("score") >= 260000.0)).cast("double") / F.count_if("is_ng")).alias("recall"))
-    return counts.join(m.auroc(both, keys, "score", "is_ng").withColumnRenamed("auroc", "calibration_auroc"), keys)
+    wins = m.wins_at_score(rows.filter("truth IN ('OK', 'NG')"), ["category"], "score", F.col("truth") == "NG")
+    judged = ng.select("category", "ng_count", "score").join(wins, ["category", "score"])
+    hits, every = F.count_if(F.col("score") >= 260000.0), F.count(F.lit(1))
+    return judged.groupBy("category", "ng_count").agg(F.max("n").alias("calibration_ok"), (hits.cast("double") / every).alias("recall"),
+                                                      (F.sum("wins").cast("double") / (2 * every * F.max("n"))).alias("calibration_auroc"))
 
 
 @query("calibrate_candidate", f"""WITH {pm.CURVE}, mc AS (SELECT category, arg_max(conf, (round(mean_iou, 9), conf)) AS mask_conf_threshold FROM curve GROUP BY 1),

@@ -112,8 +112,7 @@ def _(t):
 
 @query("score_with", f"""WITH {pv.PARTS} SELECT q.vec_id, round(min(list_distance(q.e, b.e)), 6) AS score FROM r q CROSS JOIN r b WHERE q.role = 'query' AND b.role = 'bank' GROUP BY 1""")
 def _(t):
-    factory = scoring.bank_scorer(pv.role(t, "bank"))
-    scored = scoring.score_with(pv.role(t, "query"), factory, "vec_id bigint, score double")
+    scored = scoring.score_against_bank(pv.role(t, "query"), pv.role(t, "bank"))
     return scored.select("vec_id", F.round("score", 6).alias("score"))
 
 
