@@ -57,7 +57,7 @@ def nearest_bank(queries: DataFrame, bank: DataFrame, category: str = "category"
     rows, width = bank.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
     schema = f"vec_id bigint, {category} {dict(queries.dtypes)[category]}, bank_id bigint, distance double"
     queries = queries.select("vec_id", category, "embedding")
-    bank = bank.select("vec_id", category, "embedding")
+    bank = bank.select(*(F.col(c).alias(c) for c in ("vec_id", category, "embedding")))  # its own columns, also when both come from one frame
 
     def stacked(entries: pd.DataFrame) -> dict:
         return {value: (_matrix(part["embedding"]), part["vec_id"].to_numpy()) for value, part in entries.groupby(category)}
