@@ -106,10 +106,11 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``_ord, _key, spans``: the repeated word ranges [a, b) of every marked document that has some."""
-    often = _anchors(docs, length, gram, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # counted sides are stored before they are joined: then both sides of a join are plain exchanges, whose hot keys Spark splits
+    often = written(_anchors(docs, length, gram, False).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     seeds = written(_anchors(docs, length, gram, True).join(often, "h"), "seeds")
     classes = written(seeds.groupBy("h", "c").agg(F.min(F.struct("_ord", "a")).alias("first"), F.count("*").alias("n")), "seed-classes")
-    several = classes.groupBy("h").agg(F.count("*").alias("classes"))
+    several = written(classes.groupBy("h").agg(F.count("*").alias("classes")), "anchor-classes")
     # a class of one row with an anchor of one class cannot be: such anchors were dropped
     told = classes.join(several, "h").select("h", "c", "first", "classes").where("n > 1 or classes > 1")
     met = written(seeds.join(told, ["h", "c"]).select("_ord", "_key", "a", "b", "classes", (F.struct("_ord", "a") == F.col("first")).alias("earliest")), "seed-places")
@@ -117,7 +118,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
     open_ = met.where("earliest and classes > 1").groupBy("_ord", "_key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     windows = written(_windows(docs.select("_ord", "_key", "_text").join(open_, ["_ord", "_key"]), length), "windows")
-    first = windows.groupBy("x", "y").agg(F.min(F.struct("_ord", "a")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = written(windows.groupBy("x", "y").agg(F.min(F.struct("_ord", "a")).alias("first"), F.count("*").alias("n")).where("n > 1"), "repeated-windows")
     partly = windows.join(first, ["x", "y"]).where(F.struct("_ord", "a") != F.col("first")).select("_ord", "_key", "a", (F.col("a") + length).alias("b"))
     return surely.unionByName(partly).groupBy("_ord", "_key").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
