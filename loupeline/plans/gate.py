@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import METRIC_VERSION, PROMOTION_RULE, confusion_case, is_verified
+from loupeline.functions.decisions import METRIC_VERSION, confusion_case, is_verified
 from loupeline.operators import gate as g
 from loupeline.operators import metrics as m
 from loupeline.operators import runs as u
@@ -225,13 +225,15 @@ def _(t):
                          F.col("candidate.intersection").alias("candidate_intersection"))
 
 
-def side_sql(name, alias):
-    return f"""{alias} AS (SELECT category, batch_no, {CLASS_SUMS}, {SEG_SUMS}, count(*) FILTER (label = 'INVALID_GT') AS inv, count(*) AS n FROM rows_{name}
+def side_sql(source, alias, key):
+    return f"""{alias} AS (SELECT category, {key}, {CLASS_SUMS}, {SEG_SUMS}, count(*) FILTER (label = 'INVALID_GT') AS inv, count(*) AS n FROM {source}
   WHERE {VERIFIED} GROUP BY 1, 2)"""
 
 
-VERDICT = f"""{PAIRS}, {side_sql('official', 'o')}, {side_sql('shadow', 'c')},
-j AS (SELECT o.category, o.batch_no, o.n AS reviewed, 2 * o.fn + o.fp AS official_error_cost, 2 * c.fn + c.fp AS candidate_error_cost,
+def verdict_sql(key, official, shadow):
+    """One verdict per (category, key) over two sources of metric rows."""
+    return f"""{side_sql(official, 'o', key)}, {side_sql(shadow, 'c', key)},
+j AS (SELECT o.category, o.{key}, o.n AS reviewed, 2 * o.fn + o.fp AS official_error_cost, 2 * c.fn + c.fp AS candidate_error_cost,
   {", ".join(f"{a}.{col} AS {side}_{out}" for a, side in (("o", "official"), ("c", "candidate")) for col, out in (("fn", "fn"), ("fp", "fp"), ("intersection", "intersection"), ('"union"', "union"), ("tolerant_matched_pixels", "matched"), ("tolerant_total_pixels", "total")))},
   CASE WHEN o.segmentation_valid_ng > 0 AND o.segmentation_invalid_ng = 0 THEN o.intersection::DOUBLE / o."union" END AS official_iou_micro,
   CASE WHEN c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 THEN c.intersection::DOUBLE / c."union" END AS candidate_iou_micro,
@@ -239,7 +241,7 @@ j AS (SELECT o.category, o.batch_no, o.n AS reviewed, 2 * o.fn + o.fp AS officia
   CASE WHEN c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 THEN c.tolerant_matched_pixels::DOUBLE / c.tolerant_total_pixels END AS candidate_tolerant_agreement_micro,
   o.tp + o.fn > 0 AND o.fp + o.tn > 0 AND o.segmentation_valid_ng > 0 AND o.segmentation_invalid_ng = 0 AND o.inv = 0 AND
   c.tp + c.fn > 0 AND c.fp + c.tn > 0 AND c.segmentation_valid_ng > 0 AND c.segmentation_invalid_ng = 0 AND c.inv = 0 AS complete
-  FROM o JOIN c USING (category, batch_no)),
+  FROM o JOIN c USING (category, {key})),
 k AS (SELECT *, candidate_error_cost < official_error_cost AS lo, candidate_error_cost = official_error_cost AS eq,
   candidate_matched::HUGEINT * official_total > official_matched::HUGEINT * candidate_total AS be,
   100 * (candidate_matched::HUGEINT * official_total - official_matched::HUGEINT * candidate_total) >= 20 * official_total::HUGEINT * candidate_total AS la FROM j),
@@ -254,8 +256,12 @@ def verdicts(t, pixel_counts=None):
     return g.promotion_gate(*pairs(t, pixel_counts=pixel_counts), ["category", "batch_no"])
 
 
-@query("promotion_gate", f"WITH {VERDICT} SELECT * FROM verdict")
+VERDICT = f"{PAIRS}, {verdict_sql('batch_no', 'rows_official', 'rows_shadow')}"
+
+
+@query("promotion_gate_per_batch", f"WITH {VERDICT} SELECT * FROM verdict")
 def _(t):
+    """Every batch judged on its own; ``promotion_gate`` judges the whole shadow window of a model."""
     return verdicts(t)
 
 
@@ -269,15 +275,6 @@ def pair_sql(metric, name, percent=False):
     return PAIR.format(ok=f"ok AND {old} IS NOT NULL AND {new} IS NOT NULL", a=a, c=c, name=name)
 
 
-@query("gate_pairs", f"""WITH {VERDICT}, ru AS (SELECT *, batch_no % 5 <> 0 AS ok FROM verdict) SELECT category, batch_no,
-  {pair_sql('fn', 'fn_pair')}, {pair_sql('fp', 'fp_pair')}, {pair_sql('iou_micro', 'iou_pair', True)}, {pair_sql('error_cost', 'cost_pair')},
-  {pair_sql('tolerant_agreement_micro', 't5_pair', True)}
-FROM ru""")
-def _(t):
-    ruled = verdicts(t).withColumn("rule", F.when(F.col("batch_no") % 5 != 0, F.lit(PROMOTION_RULE)).otherwise("shadow_iou_v1"))
-    return g.gate_pairs(ruled, PROMOTION_RULE).select("category", "batch_no", "fn_pair", "fp_pair", "iou_pair", "cost_pair", "t5_pair")
-
-
 @query("shadow_window", f"""WITH {ROWS}, bt AS (SELECT category, batch_no // 7 AS model, batch_no, count(*) FILTER (label = 'NG' AND gt_status = 'valid') AS ng
   FROM rows_official WHERE {VERIFIED} GROUP BY 1, 2, 3),
 r AS (SELECT *, CAST(sum(ng) OVER w AS BIGINT) AS shadow_ng, row_number() OVER w AS shadow_batches FROM bt WINDOW w AS (PARTITION BY category, model ORDER BY batch_no)),

@@ -3,11 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import boundary_flag, milestone_due
+from loupeline.functions.decisions import PROMOTION_RULE, boundary_flag, milestone_due
+from loupeline.operators import gate as g
 from loupeline.operators import lifecycle as l
 from loupeline.operators import runs as u
 from loupeline.operators.calibration import recalibration_due
+from loupeline.operators.ordering import fill_forward
+from loupeline.plans import gate as pg
 from loupeline.plans.registry import query
+from loupeline.session import sized, written
 from loupeline.sources import bindings as b
 
 KEYS = ["category", "batch_no"]
@@ -140,12 +144,13 @@ def _(t):
     return cases.withColumn("milestone", milestone_due(F.col("labeled_ng"), F.col("last_milestone")))
 
 
-NG_BATCHES = f"""{b.DECISIONS}, nb AS (SELECT category, batch_no, count(*) FILTER (truth = 'NG' AND sample_id % 31 <> 0) AS ng FROM dec
+NG_CTES = """nb AS (SELECT category, batch_no, count(*) FILTER (truth = 'NG' AND sample_id % 31 <> 0) AS ng FROM dec
   WHERE label_source IN ('human_review', 'folder_ground_truth') GROUP BY 1, 2),
 rn AS (SELECT category, batch_no, CAST(sum(ng) OVER (PARTITION BY category ORDER BY batch_no) AS BIGINT) AS labeled_ng FROM nb),
 ms AS (SELECT 40 + 20 * i AS m FROM generate_series(0, 3) AS g(i) UNION ALL SELECT 100 + 40 * i FROM generate_series(0, 20000) AS g(i)),
 rc AS (SELECT category, batch_no, labeled_ng, (SELECT max(m) FROM ms WHERE m <= labeled_ng) AS reached FROM rn),
 mile AS (SELECT category, batch_no, labeled_ng, CASE WHEN reached > coalesce(lag(reached) OVER (PARTITION BY category ORDER BY batch_no), 0) THEN reached END AS milestone FROM rc)"""
+NG_BATCHES = f"{b.DECISIONS}, {NG_CTES}"
 
 
 def ng_batches(t):
@@ -162,23 +167,84 @@ def _(t):
     return milestone_rows(t)
 
 
-MODELS = f"""{NG_BATCHES}, models AS (SELECT category, milestone, batch_no AS start_batch, concat(category, '-seg-v', milestone, '-', substr(sha256(concat_ws(':', category, milestone)), 1, 12)) AS version,
-    CASE WHEN milestone % 3 <> 0 THEN batch_no + 2 END AS verdict_batch, CASE WHEN milestone % 3 = 1 THEN 'promote' WHEN milestone % 3 = 2 THEN 'reject' END AS decision
+SHADOW_MIN_NG, SHADOW_MAX_BATCHES = 40, 5
+
+
+def window_sql(layer):
+    """Metric rows of a layer that belong to the shadow window of a candidate."""
+    return f"""w_{layer} AS (SELECT r.*, u.version FROM rows_{layer} r JOIN under u USING (category, batch_no) JOIN due d ON d.category = u.category AND d.version = u.version
+  WHERE r.batch_no <= d.verdict_batch)"""
+
+
+MODELS = f"""{pg.PAIRS}, {NG_CTES},
+trained AS (SELECT category, milestone, batch_no AS start_batch, concat(category, '-seg-v', milestone, '-', substr(sha256(concat_ws(':', category, milestone)), 1, 12)) AS version
   FROM mile WHERE milestone IS NOT NULL),
+under AS (SELECT x.category, x.batch_no, (SELECT arg_max(version, start_batch) FROM trained y WHERE y.category = x.category AND y.start_batch < x.batch_no) AS version
+  FROM (SELECT DISTINCT category, batch_no FROM dec) x),
+wb AS (SELECT u.category, u.version, u.batch_no, count(r.sample_id) FILTER (r.label = 'NG' AND r.gt_status = 'valid') AS ng FROM under u
+  LEFT JOIN (SELECT * FROM rows_official WHERE {pg.VERIFIED}) r ON r.category = u.category AND r.batch_no = u.batch_no WHERE u.version IS NOT NULL GROUP BY 1, 2, 3),
+wr AS (SELECT *, CAST(sum(ng) OVER w AS BIGINT) AS shadow_ng, row_number() OVER w AS shadow_batches FROM wb WINDOW w AS (PARTITION BY category, version ORDER BY batch_no)),
+due AS (SELECT category, version, min(batch_no) AS verdict_batch, min(shadow_ng) AS shadow_ng, min(shadow_batches) AS shadow_batches
+  FROM wr WHERE shadow_ng >= {SHADOW_MIN_NG} OR shadow_batches >= {SHADOW_MAX_BATCHES} GROUP BY 1, 2),
+{window_sql('official')}, {window_sql('shadow')}, {pg.verdict_sql('version', 'w_official', 'w_shadow')},
+models AS (SELECT t.*, d.verdict_batch, v.decision FROM trained t LEFT JOIN due d USING (category, version) LEFT JOIN verdict v USING (category, version)),
 md AS (SELECT *, lead(start_batch) OVER (PARTITION BY category ORDER BY milestone) AS next_start FROM models),
 mds AS (SELECT *, CASE WHEN next_start IS NOT NULL AND (verdict_batch IS NULL OR next_start < verdict_batch) THEN 'superseded' WHEN verdict_batch IS NULL THEN 'shadow_candidate'
   WHEN decision = 'promote' THEN 'promoted' ELSE 'rejected_shadow' END AS status FROM md)"""
 
 
-def models(t):
-    """One candidate per reached milestone with the batch and outcome of its shadow verdict."""
+def trained(t):
+    """One candidate per reached milestone."""
     m = F.col("milestone")
     version = F.concat("category", F.lit("-seg-v"), m.cast("string"), F.lit("-"),
                        F.substring(F.sha2(F.concat_ws(":", "category", m.cast("string")), 256), 1, 12))
-    return milestone_rows(t).filter(m.isNotNull()).select(
-        "category", "milestone", F.col("batch_no").alias("start_batch"), version.alias("version"),
-        F.when(m % 3 != 0, F.col("batch_no") + 2).alias("verdict_batch"),
-        F.when(m % 3 == 1, "promote").when(m % 3 == 2, "reject").alias("decision"))
+    return milestone_rows(t).filter(m.isNotNull()).select("category", "milestone", F.col("batch_no").alias("start_batch"), version.alias("version"))
+
+
+def shadow_verdicts(t, candidates, pixel_counts=None):
+    """Verdict of every candidate on all reviewed pairs of its shadow window.
+
+    A batch belongs to the newest candidate trained before it; the window closes with the first batch that brings enough
+    labelled NG or batches. All windows of all models are judged in one pass.
+    """
+    starts = candidates.select("category", F.col("start_batch").alias("batch_no"), F.col("version").alias("_started"))
+    batches = b.decisions(t).select(*KEYS).distinct().join(starts, KEYS, "left")
+    under = fill_forward(batches, ["category"], [F.col("batch_no")], {"version": "_started"}, inclusive=False)
+    under = sized(under.filter("version IS NOT NULL").select(*KEYS, "version"), "shadow-batches")
+    sides = [written(side.join(under, KEYS), "shadow-rows") for side in pg.pairs(t, pixel_counts=pixel_counts)]
+    model = ["category", "version"]
+    ng = sides[0].groupBy(*model, "batch_no").agg(F.count_if((F.col("label") == "NG") & (F.col("gt_status") == "valid")).alias("valid_ng"))
+    counted = under.join(ng, [*model, "batch_no"], "left").fillna(0, ["valid_ng"])
+    window = g.shadow_window(counted, model, min_ng=SHADOW_MIN_NG, max_batches=SHADOW_MAX_BATCHES).filter("due")
+    due = sized(window.select(*model, F.col("batch_no").alias("verdict_batch"), "shadow_ng", "shadow_batches"), "verdict-batches")
+    cohorts = [side.join(due.select(*model, "verdict_batch"), model).filter("batch_no <= verdict_batch") for side in sides]
+    return written(due.join(g.promotion_gate(*cohorts, model), model, "left"), "verdicts")
+
+
+def judged(t, pixel_counts=None):
+    """Candidates with their verdicts (batch and decision), and the verdicts in full."""
+    candidates = written(trained(t), "candidates")
+    verdicts = shadow_verdicts(t, candidates, pixel_counts)
+    return candidates.join(verdicts.select("category", "version", "verdict_batch", "decision"), ["category", "version"], "left"), verdicts
+
+
+def models(t, pixel_counts=None):
+    return judged(t, pixel_counts)[0]
+
+
+@query("promotion_gate", f"WITH {MODELS} SELECT due.verdict_batch, due.shadow_ng, due.shadow_batches, verdict.* FROM due JOIN verdict USING (category, version)")
+def _(t):
+    return judged(t)[1].filter("decision IS NOT NULL")
+
+
+@query("gate_pairs", f"""WITH {MODELS}, ru AS (SELECT verdict.*, verdict_batch % 5 <> 0 AS ok FROM verdict JOIN due USING (category, version)) SELECT category, version,
+  {pg.pair_sql('fn', 'fn_pair')}, {pg.pair_sql('fp', 'fp_pair')}, {pg.pair_sql('iou_micro', 'iou_pair', True)}, {pg.pair_sql('error_cost', 'cost_pair')},
+  {pg.pair_sql('tolerant_agreement_micro', 't5_pair', True)}
+FROM ru""")
+def _(t):
+    verdicts = judged(t)[1].filter("decision IS NOT NULL")
+    ruled = verdicts.withColumn("rule", F.when(F.col("verdict_batch") % 5 != 0, F.lit(PROMOTION_RULE)).otherwise("shadow_iou_v1"))
+    return g.gate_pairs(ruled, PROMOTION_RULE).select("category", "version", "fn_pair", "fp_pair", "iou_pair", "cost_pair", "t5_pair")
 
 
 @query("supersede", f"WITH {MODELS} SELECT category, milestone, start_batch, version, next_start, status FROM mds")
@@ -192,8 +258,8 @@ uf AS (SELECT bt.*, coalesce((SELECT arg_max(version, decided_batch) FROM sw WHE
   coalesce((SELECT arg_max(version, decided_batch) FROM sw WHERE sw.category = bt.category AND decided_batch <= bt.batch_no), 'pretrained') AS next_model FROM bt)"""
 
 
-def in_force(t):
-    switches = l.superseded(models(t)).filter("status = 'promoted'").select("category", F.col("verdict_batch").alias("decided_batch"), "version")
+def in_force(t, known=None):
+    switches = l.superseded(models(t) if known is None else known).filter("status = 'promoted'").select("category", F.col("verdict_batch").alias("decided_batch"), "version")
     return l.model_in_force(b.decisions(t).select(*KEYS).distinct(), switches)
 
 

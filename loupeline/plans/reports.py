@@ -51,9 +51,9 @@ TEXT_SQL = "CASE {0} WHEN 'shadow_candidate' THEN '影子中' WHEN 'promoted' TH
 NAME_SQL = "CASE WHEN {0} = 'pretrained' THEN '预训练模型' ELSE concat('YOLO-v', string_split(string_split({0}, '-seg-v')[2], '-')[1]) END"
 
 
-def latest_models(t):
+def latest_models(t, known=None):
     """Newest candidate known at the end of each batch, with the status its snapshot shows then."""
-    trained = pl.models(t).select("category", F.col("start_batch").alias("batch_no"), F.struct(
+    trained = (pl.models(t) if known is None else known).select("category", F.col("start_batch").alias("batch_no"), F.struct(
         "version", "milestone", "verdict_batch", "decision").alias("model"))
     events = b.decisions(t).select(*KEYS).distinct().join(trained, KEYS, "left")
     known = fill_forward(events, ["category"], [F.col("batch_no")], {"latest": "model"})
@@ -63,23 +63,24 @@ def latest_models(t):
                         F.col("latest.verdict_batch").alias("verdict_batch"), status.alias("latest_status"))
 
 
-def verdict_texts(t, pixel_counts):
-    verdicts = pg.verdicts(t, pixel_counts).withColumn("rule", F.lit(PROMOTION_RULE))
-    return g.gate_pairs(verdicts, PROMOTION_RULE).select("category", F.col("batch_no").alias("verdict_batch"), "fn_pair", "fp_pair", "iou_pair", "cost_pair", "t5_pair")
+def verdict_texts(verdicts):
+    ruled = verdicts.filter("decision IS NOT NULL").withColumn("rule", F.lit(PROMOTION_RULE))
+    return g.gate_pairs(ruled, PROMOTION_RULE).select("category", F.col("version").alias("latest_version"), "fn_pair", "fp_pair", "iou_pair", "cost_pair", "t5_pair")
 
 
 @query("snapshot_shadow_leak_guard", f"""SELECT category, batch_no, latest_version, {STATUS_SQL} AS latest_status, CASE WHEN {STATUS_SQL} IN ('promoted', 'rejected_shadow') THEN decision END AS verdict
 FROM ({LATEST})""")
 def _(t):
-    decided = pl.models(t).select("category", F.col("version").alias("latest_version"), F.col("decision").alias("verdict"))
-    joined = latest_models(t).join(decided, ["category", "latest_version"], "left")
+    known = pl.models(t)
+    decided = known.select("category", F.col("version").alias("latest_version"), F.col("decision").alias("verdict"))
+    joined = latest_models(t, known).join(decided, ["category", "latest_version"], "left")
     return rp.visible_verdict(joined, ["verdict"]).select(*KEYS, "latest_version", "latest_status", "verdict")
 
 
 SIMULATION = f"""WITH full_m AS (WITH {pg.ROWS}, c AS (SELECT category, batch_no, {pg.CLASS_SUMS}, {pg.SEG_SUMS} FROM rows_official GROUP BY 1, 2) SELECT * EXCLUDE (px, miou), {RATES}, {pg.SEG_RATES} FROM c),
 test_m AS (WITH {pg.ROWS}, tst AS (SELECT * REPLACE (score >= 260000 AS predicted_ng) FROM rows_official), c AS (SELECT category, {pg.CLASS_SUMS}, {pg.SEG_SUMS} FROM tst GROUP BY 1) SELECT * EXCLUDE (px, miou), {RATES}, {pg.SEG_RATES} FROM c),
 rep AS ({SQL['batch_report']}), snp AS ({SQL['batch_snapshot']}), frc AS ({SQL['model_in_force']}), lat AS (SELECT *, {STATUS_SQL} AS status FROM ({LATEST})),
-prs AS ({SQL['gate_pairs'].replace('batch_no % 5 <> 0 AS ok', 'true AS ok')}),
+prs AS ({SQL['gate_pairs'].replace('verdict_batch % 5 <> 0 AS ok', 'true AS ok')}),
 j AS (SELECT rep.category, rep.batch_no, rep."count" AS inputs, concat(rep.input_ok, '/', rep.input_ng) AS input_ok_ng, concat(rep.predicted_ok, '/', rep.predicted_ng) AS predicted_ok_ng, rep.reviewed,
   concat(eligible_training_ok, '/', eligible_training_ng) AS trainable_ok_ng, {NAME_SQL.format('used_model')} AS official_model, f.recall, f.ok_false_positive_rate, f.iou_micro,
   CASE WHEN latest_version IS NULL THEN '—' ELSE concat({NAME_SQL.format('latest_version')}, '（', {TEXT_SQL.format('status')}, '）') END AS latest_model,
@@ -94,7 +95,7 @@ j AS (SELECT rep.category, rep.batch_no, rep."count" AS inputs, concat(rep.input
   f.error_cost, f.tolerant_agreement_micro AS tolerant_agreement, CASE WHEN latest_version IS NOT NULL THEN x.error_cost END AS test_error_cost,
   CASE WHEN latest_version IS NOT NULL THEN x.tolerant_agreement_micro END AS test_tolerant_agreement
   FROM rep JOIN full_m f USING (category, batch_no) JOIN test_m x USING (category) JOIN snp USING (category, batch_no) JOIN frc USING (category, batch_no)
-  JOIN lat USING (category, batch_no) LEFT JOIN prs ON prs.category = rep.category AND prs.batch_no = lat.vb)
+  JOIN lat USING (category, batch_no) LEFT JOIN prs ON prs.category = rep.category AND prs.version = lat.latest_version)
 SELECT * FROM j"""
 
 
@@ -114,8 +115,9 @@ def simulation(t):
         F.col("fp").alias("_fp"), F.col("error_cost").alias("_cost"), F.col("tolerant_agreement_micro").alias("_t5"))
     report = batch_report(r.reviewed_batch(b.decisions(t), KEYS)).select(*KEYS, F.col("count").alias("inputs"), "reviewed", "input_ok", "input_ng", "predicted_ok", "predicted_ng")
     milestone = F.col("milestone")
-    joined = (report.join(full, KEYS).join(pl.snapshots(t), KEYS).join(pl.in_force(t), KEYS).join(latest_models(t), KEYS).join(test, "category")
-              .join(verdict_texts(t, shared), ["category", "verdict_batch"], "left"))
+    candidates, verdicts = pl.judged(t, shared)  # one gate for the model in force, the status shown and the numbers beside it
+    joined = (report.join(full, KEYS).join(pl.snapshots(t), KEYS).join(pl.in_force(t, candidates), KEYS).join(latest_models(t, candidates), KEYS).join(test, "category")
+              .join(verdict_texts(verdicts), ["category", "latest_version"], "left"))
     ready = joined.withColumns({
         "trained_images": milestone * 4, "trained_ng": milestone, "selected_synthetic": F.floor(milestone / 20), "generation_events": F.floor(milestone / 40),
         "augmentation_reason": F.lit(None).cast("string"), "test_metric_version": F.lit(METRIC_VERSION), "test_recall": known("_recall"), "test_fpr": known("_fpr"),
