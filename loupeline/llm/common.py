@@ -151,6 +151,18 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = GROUP_BYTES) -> Iter
         yield batch.slice(first)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands Python at most ``BATCH_BYTES`` (or one row) at a time.
+
+    Spark's own bounds, 10,000 rows and 64 MiB, are too much for several copies of a batch of long texts in one executor.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def with_columns(df: DataFrame, text: str, keep: list[str], added: str, compute, limit: int = GROUP_BYTES) -> DataFrame:
     """``keep`` columns of ``df`` and the ``added`` ones that ``compute`` makes from lists of UTF-8 texts.
 
@@ -170,4 +182,4 @@ def with_columns(df: DataFrame, text: str, keep: list[str], added: str, compute,
                 columns = [pa.array(values, kinds.get(kind)) for values, (_, kind) in zip(made, fields)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *columns], names=[*kept, *new])
 
-    return given.mapInArrow(run, schema)
+    return bounded(given).mapInArrow(run, schema)

@@ -170,7 +170,7 @@ def _pass(docs: DataFrame, phrases: Phrases, text: str, clean: bool) -> DataFram
                     columns.append(pa.array([None if t is None else cut(t, list(zip(a[x:y].tolist(), b[x:y].tolist()))) for t, x, y in zip(texts, cuts[:-1], cuts[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *["clean_text"] * clean])
 
-    return docs.mapInArrow(run, schema)
+    return common.bounded(docs).mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item: str = "item_id", item_text: str = "text",

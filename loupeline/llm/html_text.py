@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from loupeline.llm import common
+
 # Element names of HTML by role, and the words in class, id or role that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("aside button canvas datalist dialog footer form head header iframe input label math menu nav noframes noscript object option script select style "
@@ -212,4 +214,4 @@ def extract_main_text(pages: DataFrame, html_column: str = "html") -> DataFrame:
                 columns = [part.column(c) for c in kept] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, "text", "n_chars"])
 
-    return given.mapInArrow(run, schema)
+    return common.bounded(given).mapInArrow(run, schema)

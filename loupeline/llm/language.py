@@ -101,7 +101,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", alpha: fl
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(row[at], pa.int64())], names=["lang", "bucket", "n"])
 
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = rows.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = common.bounded(rows).mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     per_language = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("row"))  # at most BUCKETS + 1 entries each
     found = {r["lang"]: r["row"] for r in per_language.limit(MAX_LANGUAGES + 1).collect()}
     if len(found) > MAX_LANGUAGES:

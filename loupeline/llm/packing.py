@@ -123,7 +123,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_ids: bo
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return common.bounded(rows).mapInArrow(run, schema)
 
 
 class Plan:

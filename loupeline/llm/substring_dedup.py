@@ -78,7 +78,7 @@ def _anchors(docs: DataFrame, length: int, gram: int, whole: bool) -> DataFrame:
                                                   pa.array((a - base).astype(np.int32)), pa.array((b - base).astype(np.int32))], names=["h", "c", "_ord", "_key", "a", "b"])
 
     given = docs.select(*["_ord", "_key"] * whole, "_text")
-    return given.mapInArrow(run, "h bigint, c bigint, _ord bigint, _key bigint, a int, b int" if whole else "h bigint")
+    return common.bounded(given).mapInArrow(run, "h bigint, c bigint, _ord bigint, _key bigint, a int, b int" if whole else "h bigint")
 
 
 def _windows(docs: DataFrame, length: int) -> DataFrame:
@@ -101,7 +101,7 @@ def _windows(docs: DataFrame, length: int) -> DataFrame:
                                                   part.column("_ord").take(rows), part.column("_key").take(rows), pa.array(within.astype(np.int32))],
                                                  names=["x", "y", "_ord", "_key", "a"])
 
-    return docs.select("_ord", "_key", "_text", "spans").mapInArrow(run, "x bigint, y bigint, _ord bigint, _key bigint, a int")
+    return common.bounded(docs.select("_ord", "_key", "_text", "spans")).mapInArrow(run, "x bigint, y bigint, _ord bigint, _key bigint, a int")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -156,7 +156,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
                                                             pa.array([None if t is None else t.decode() for t in bodies], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
-    return rows.mapInArrow(run, schema)
+    return common.bounded(rows).mapInArrow(run, schema)
 
 
 def _without(text: bytes, group: common.Group, gone: np.ndarray, i: int) -> bytes:

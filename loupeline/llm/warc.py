@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from loupeline.llm import common
 from loupeline.session import scratch, written
 
 FILE_BYTES = 64 << 20
@@ -140,7 +141,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0,
             out.close()
             yield _manifest(f"{folder}/{path}", made, size)
 
-    return written(rows.mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-manifest")
+    return written(common.bounded(rows).mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-manifest")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
