@@ -57,6 +57,20 @@ def next_up(value: Column) -> Column:
     return F.call_function("java_method", F.lit("java.lang.Math"), F.lit("nextUp"), value).cast("double")
 
 
+def utc_text(at) -> Column:
+    """Time as ISO 8601 text in UTC with microseconds and offset; the session's time zone does not matter."""
+    return F.concat(_utc(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
+def utc_stamp(at) -> Column:
+    """The same time without separators, for names of folders: 20240131T235959123456+0000."""
+    return F.regexp_replace(utc_text(at), "[:.-]", "")
+
+
+def _utc(at, pattern: str) -> Column:
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(at).cast("timestamp").cast("timestamp_ntz")), pattern)
+
+
 def milestone_due(labeled: Column, last: Column, first=40, step=20, knee=100, late=40) -> Column:
     """Highest training milestone reached by ``labeled`` and not yet trained, NULL when none is due.
 

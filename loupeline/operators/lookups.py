@@ -46,20 +46,21 @@ MASK_EXTENSIONS = (".png", ".bmp", ".jpg", ".jpeg", ".tif", ".tiff")
 PRIORITY_SUFFIXES = ("_t", "_mask", "")
 
 
-def split_path(path: str) -> dict[str, Column]:
-    """Directory, stem and lower-case extension of a path."""
+def split_path(path: str, ignore_case: bool = True) -> dict[str, Column]:
+    """Directory, stem and extension (lower-cased with ``ignore_case``) of a path."""
     name = F.element_at(F.split(path, "/"), -1)
+    extension = F.regexp_extract(name, r"(\.[^.]*)$", 1)
     return {"_dir": F.regexp_replace(path, "/?[^/]*$", ""), "_stem": F.regexp_replace(name, r"\.[^.]*$", ""),
-            "_ext": F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))}
+            "_ext": F.lower(extension) if ignore_case else extension}
 
 
-def mask_keys(masks: DataFrame, suffixes: Sequence[str]) -> DataFrame:
+def mask_keys(masks: DataFrame, suffixes: Sequence[str], ignore_case: bool = True) -> DataFrame:
     """Each mask under every image stem it could belong to: ``(root, stem, suffix_no, ext, mask)``.
 
     The few readings of a mask's name are exploded on the mask side, so images join on (root, stem) directly instead of
     probing suffix and extension combinations.
     """
-    parts = masks.withColumns(split_path("mask"))
+    parts = masks.withColumns(split_path("mask", ignore_case))
     readings = F.array_compact(F.array(*[F.when(F.col("_stem").endswith(s), F.struct(
         F.expr(f"substring(_stem, 1, length(_stem) - {len(s)})").alias("stem"), F.lit(i).alias("suffix_no"))) for i, s in enumerate(suffixes)]))
     directory = F.element_at(F.split("_dir", "/"), -1)
@@ -67,8 +68,9 @@ def mask_keys(masks: DataFrame, suffixes: Sequence[str]) -> DataFrame:
     return kept.select("mask", F.regexp_replace("_dir", "/?[^/]*$", "").alias("root"), "_ext", F.inline(readings))
 
 
-def mask_lookup_strict(images: DataFrame, masks: DataFrame) -> DataFrame:
-    """Mask in the nearest ancestor that has any match; more than one match there is an error.
+def mask_lookup_strict(images: DataFrame, masks: DataFrame, ignore_case: bool = False) -> DataFrame:
+    """Mask in the nearest ancestor that has any match; more than one match there is an error. Mask extensions are exact names unless
+    ``ignore_case`` is set.
 
     Matches are counted and reduced per image, not gathered.
     """
@@ -77,7 +79,7 @@ def mask_lookup_strict(images: DataFrame, masks: DataFrame) -> DataFrame:
     ancestors = F.transform(F.sequence(F.lit(0), F.size(pieces)), lambda d: F.struct(
         d.alias("depth"), F.array_join(F.slice(pieces, F.lit(1), F.size(pieces) - d), "/").alias("root")))
     wanted = parts.select("image", F.col("_stem").alias("stem"), F.inline(ancestors))
-    found = wanted.join(mask_keys(masks, MASK_SUFFIXES), ["root", "stem"])
+    found = wanted.join(mask_keys(masks, MASK_SUFFIXES, ignore_case), ["root", "stem"])
     per_depth = found.groupBy("image", "depth").agg(F.countDistinct("mask").alias("n"), F.min("mask").alias("mask"))
     nearest = per_depth.groupBy("image").agg(F.min(F.struct("depth", "n", "mask")).alias("_hit"))
     n = F.coalesce("_hit.n", F.lit(0).cast("bigint"))
@@ -85,11 +87,11 @@ def mask_lookup_strict(images: DataFrame, masks: DataFrame) -> DataFrame:
         *images.columns, F.when(n == 1, F.col("_hit.mask")).alias("mask"), n.alias("n_matches"), F.when(n > 1, "ambiguous_masks").alias("error"))
 
 
-def mask_lookup_priority(images: DataFrame, masks: DataFrame) -> DataFrame:
+def mask_lookup_priority(images: DataFrame, masks: DataFrame, ignore_case: bool = True) -> DataFrame:
     """First mask by suffix order and then by sorted extension, in the mask folder next to the label folder."""
     parts = images.withColumns(split_path("image"))
     wanted = parts.select("image", F.col("_stem").alias("stem"), F.regexp_replace("_dir", "/?[^/]*$", "").alias("root"))
-    found = wanted.join(mask_keys(masks, PRIORITY_SUFFIXES), ["root", "stem"])
+    found = wanted.join(mask_keys(masks, PRIORITY_SUFFIXES, ignore_case), ["root", "stem"])
     best = found.groupBy("image").agg(F.min(F.struct("suffix_no", "_ext", "mask")).alias("_hit"))
     return images.join(best, "image", "left").select(*images.columns, F.col("_hit.mask").alias("mask"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loupeline.operators.review import region_topk
 from loupeline.operators.runs import length, merge_runs, roi_clip
+from loupeline.session import written
 
 
 def _label(image_id: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
@@ -110,6 +111,15 @@ def hybrid_regions(heat: DataFrame, sample: str, pixel_threshold: float, peak_fr
     return region_topk(stats.withColumn("threshold_used", used), sample, min_area, max_regions)
 
 
+def hybrid_region_mask(heat: DataFrame, sample: str, pixel_threshold: float, peak_fraction: float = 0.7, min_area: int = 128,
+                       max_regions: int = 3) -> DataFrame:
+    """Mask of the regions that ``hybrid_regions`` keeps, as disjoint runs. Regions are labelled once; the kept labels of an image are few."""
+    labelled = written(connected_components(above_peak(heat, sample, pixel_threshold, peak_fraction), sample, carry=["value"], disjoint=True), "labelled-heat")
+    stats = labelled.groupBy(sample, "label").agg(F.sum(length()).cast("bigint").alias("area"), F.max("value").alias("peak"))
+    kept = region_topk(stats, sample, min_area, max_regions).select(sample, "label")
+    return merge_runs(labelled.join(kept, [sample, "label"]).select(sample, "y", "x0", "x1"), [sample])
+
+
 def component_boxes(labelled: DataFrame, sample: str, height: int, width: int) -> DataFrame:
     """One box per component with corners on the 0..1 image scale, clipped."""
     def unit(value, size):

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import METRIC_VERSION, reasons
+from loupeline.functions.decisions import METRIC_VERSION, reasons, utc_text
 from loupeline.operators.lookups import model_display_name
 from loupeline.operators.metrics import cohort_fingerprint
 
@@ -97,6 +97,17 @@ def audit_integrity(production: DataFrame, files: DataFrame, key: str = "categor
                          .when(F.col("_actual") != F.col("sha256"), "checkpoint_changed").otherwise("").alias("error"))
 
 
+def audit_report(audited: DataFrame, pool_counts: DataFrame, states: DataFrame, at: Column, key: str = "category") -> DataFrame:
+    """One row per category: errors of its production checkpoints, members of every pool, its state, and the time of the report.
+
+    ``audited`` is the result of ``audit_integrity``, ``pool_counts`` has one row per pool, ``states`` one row per category.
+    """
+    wrong = audited.groupBy(key).agg(F.count_if(F.col("error") != "").alias("errors"), F.count(F.lit(1)).alias("production_models"))
+    pools = pool_counts.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("pool", "n")))).alias("counts"))  # the closed set of pools
+    joined = states.join(pools, key, "left").join(wrong, key, "left").fillna(0, ["errors", "production_models"])
+    return joined.withColumns({"status": F.when(F.col("errors") == 0, "ok").otherwise("error"), "created_at": utc_text(at)})
+
+
 def model_artifact_check(trained: DataFrame, files: DataFrame, tests: DataFrame) -> DataFrame:
     """Trained versions without a test result or with a checkpoint hash that does not match."""
     stored = files.select("version", F.col("sha256").alias("_actual"))

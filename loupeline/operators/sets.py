@@ -79,8 +79,8 @@ def generation_due(current: DataFrame, last: DataFrame, events: DataFrame, categ
 def generated_gate(items: DataFrame, forbidden: DataFrame, allow_unreviewed: bool) -> DataFrame:
     """Items eligible for selection with the reasons that refuse them.
 
-    Expects item_id, image_sha256, selection_status, approved, request_ok, checksum_ok, mask_binary, mask_pixels,
-    white_pixels. Repeats of one image are all refused but the first, counted per hash without gathering rows.
+    Expects item_id, image_sha256, selection_status, approved, request_ok, checksum_ok, image_height, image_width, mask_height,
+    mask_width, mask_binary, white_pixels. Repeats of one image are all refused but the first, counted per hash without gathering rows.
     """
     human = F.coalesce("approved", F.lit(False)) & (F.col("selection_status") == "human_approved")
     open_item = F.col("selection_status") == "structurally_valid_unreviewed"
@@ -90,8 +90,9 @@ def generated_gate(items: DataFrame, forbidden: DataFrame, allow_unreviewed: boo
     marked = eligible.join(first, "image_sha256").join(banned, "image_sha256", "left")
     return marked.select("item_id", "human_approved", reasons(
         request_mismatch=~F.col("request_ok"), checksum=~F.col("checksum_ok"), forbidden=F.col("_banned").isNotNull(),
-        duplicate=F.col("item_id") > F.col("_first"), mask_not_binary=~F.col("mask_binary"),
-        mask_empty=F.col("white_pixels") == 0, mask_full=F.col("white_pixels") >= F.col("mask_pixels")).alias("violations"))
+        duplicate=F.col("item_id") > F.col("_first"), size_mismatch=~(F.col("image_height").eqNullSafe(F.col("mask_height")) & F.col("image_width").eqNullSafe(F.col("mask_width"))),
+        mask_not_binary=~F.col("mask_binary"), mask_empty=F.col("white_pixels") == 0,
+        mask_full=F.col("white_pixels") >= F.col("mask_height") * F.col("mask_width")).alias("violations"))
 
 
 def pixel_dedup(items: DataFrame, seen: DataFrame, digest: str = "pixel_sha256", order: str = "item_id") -> DataFrame:

@@ -256,6 +256,13 @@ def _(t):
                       *[F.col(c).cast("bigint").alias(c) for c in ("bx0", "by0", "bx1", "by1")], "threshold_used")
 
 
+@query("hybrid_region_mask", f"""WITH RECURSIVE {REGIONS}, rk AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY peak DESC, area DESC, label) AS rank FROM rs WHERE area >= 24),
+kp AS (SELECT px.sample_id, px.y, px.x FROM px JOIN lab ON lab.sample_id = px.sample_id AND lab.root = px.root JOIN rk ON rk.sample_id = lab.sample_id AND rk.label = lab.label AND rank <= 3),
+{RUNS_SQL.format(pix='kp')}""")
+def _(t):
+    return as_bigint(rg.hybrid_region_mask(heat(t), "sample_id", 0.3, 0.7, 24, 3))
+
+
 @query("region_stats", f"WITH RECURSIVE {REGIONS} SELECT sample_id, label, area, peak, CAST(round(mean * area * 1000) AS BIGINT) AS heat_milli FROM rs")
 def _(t):
     stats = rg.region_stats(rg.above_peak(heat(t), "sample_id", 0.3, 0.7), "sample_id")

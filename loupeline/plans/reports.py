@@ -163,6 +163,26 @@ def _(t):
     return rp.audit_integrity(production, checkpoints(t))
 
 
+AUDIT_AT = "2024-02-29 23:59:58.125"
+
+
+@query("audit_report", f"""WITH pr AS (SELECT p_brand AS category, p_size, p_partkey, CASE WHEN p_size % 7 = 0 OR p_size % 9 = 0 THEN 1 ELSE 0 END AS bad FROM part),
+n AS (SELECT category, p_size % 12 AS i, count(*) AS n FROM pr GROUP BY 1, 2), p(i, pool) AS (VALUES {", ".join(f"({i}, '{p}')" for i, p in enumerate(l.POOLS))}),
+c AS (SELECT c.category, string_agg(concat(p.pool, '=', coalesce(n.n, 0)), ',' ORDER BY p.pool) AS counts FROM (SELECT DISTINCT category FROM pr) c CROSS JOIN p LEFT JOIN n ON n.category = c.category AND n.i = p.i GROUP BY 1)
+SELECT pr.category, max(p_size) AS last_milestone, any_value(c.counts) AS counts, CAST(sum(bad) AS BIGINT) AS errors, count(*) AS production_models, CASE WHEN sum(bad) = 0 THEN 'ok' ELSE 'error' END AS status,
+  '2024-02-29T23:59:58.125000+00:00' AS created_at FROM pr JOIN c USING (category) GROUP BY 1""")
+def _(t):
+    k = F.col("p_partkey").cast("string")
+    rows = t.part.withColumn("category", F.col("p_brand"))
+    production = rows.select("category", F.col("p_type").alias("version"), F.concat(F.lit("ckpt/"), k).alias("checkpoint"), F.sha2(k, 256).alias("sha256"))
+    pool = F.element_at(F.array(*[F.lit(p) for p in l.POOLS]), (F.col("p_size") % 12 + 1).cast("int"))
+    counts = l.pool_counts(rows.select(F.col("p_partkey").alias("sample_id"), "category", pool.alias("pool")), rows.select("category").distinct())
+    states = rows.groupBy("category").agg(F.max("p_size").alias("last_milestone"))
+    report = rp.audit_report(rp.audit_integrity(production, checkpoints(t)), counts, states, F.lit(AUDIT_AT).cast("timestamp"))
+    flat = F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return report.withColumn("counts", flat).select("category", "last_milestone", "counts", "errors", "production_models", "status", "created_at")
+
+
 @query("model_artifact_check", f"""WITH f AS ({FILES_SQL}) SELECT p_brand AS category, CAST(p_partkey AS VARCHAR) AS version, concat_ws(',', CASE WHEN p_size % 6 = 0 THEN 'no_test_result' END,
   CASE WHEN f.sha256 IS NULL OR f.sha256 <> sha256(CAST(p_partkey AS VARCHAR)) THEN 'checkpoint' END) AS violations FROM part LEFT JOIN f ON f.k = p_partkey
 WHERE p_size % 6 = 0 OR f.sha256 IS NULL OR f.sha256 <> sha256(CAST(p_partkey AS VARCHAR))""")

@@ -241,7 +241,7 @@ def _(t):
 GENERATED = """gen AS (SELECT doc_id AS item_id, sha256(text) AS image_sha256,
   CASE doc_id % 4 WHEN 0 THEN 'human_approved' WHEN 1 THEN 'structurally_valid_unreviewed' WHEN 2 THEN 'human_approved' ELSE 'rejected' END AS selection_status,
   CASE doc_id % 4 WHEN 0 THEN true WHEN 2 THEN NULL ELSE false END AS approved, doc_id % 41 <> 0 AS request_ok,
-  doc_id % 43 <> 0 AS checksum_ok, doc_id % 47 <> 0 AS mask_binary, 64 AS mask_pixels, least(64, n_chars % 80) AS white_pixels FROM documents)"""
+  doc_id % 43 <> 0 AS checksum_ok, doc_id % 47 <> 0 AS mask_binary, CASE WHEN doc_id % 37 = 0 THEN 16 ELSE 8 END AS image_width, 64 AS mask_pixels, least(64, n_chars % 80) AS white_pixels FROM documents)"""
 
 
 @query("generated_gate", f"""WITH {GENERATED}, el AS (SELECT *, coalesce(approved, false) AND selection_status = 'human_approved' AS human_approved FROM gen),
@@ -249,7 +249,7 @@ ok AS (SELECT *, min(item_id) OVER (PARTITION BY image_sha256) AS first FROM el
 ban AS (SELECT sha256(text) AS sha256 FROM benchmark UNION SELECT sha256(text) FROM documents JOIN labels USING (doc_id) WHERE toxic = 1)
 SELECT item_id, human_approved, concat_ws(',', CASE WHEN NOT request_ok THEN 'request_mismatch' END, CASE WHEN NOT checksum_ok THEN 'checksum' END,
   CASE WHEN image_sha256 IN (SELECT sha256 FROM ban) THEN 'forbidden' END, CASE WHEN item_id > first THEN 'duplicate' END,
-  CASE WHEN NOT mask_binary THEN 'mask_not_binary' END, CASE WHEN white_pixels = 0 THEN 'mask_empty' END,
+  CASE WHEN image_width <> 8 THEN 'size_mismatch' END, CASE WHEN NOT mask_binary THEN 'mask_not_binary' END, CASE WHEN white_pixels = 0 THEN 'mask_empty' END,
   CASE WHEN white_pixels >= mask_pixels THEN 'mask_full' END) AS violations FROM ok""")
 def _(t):
     k = F.col("doc_id")
@@ -258,7 +258,7 @@ def _(t):
         F.when(k % 4 == 1, "structurally_valid_unreviewed").when(k % 4 == 3, "rejected").otherwise("human_approved").alias("selection_status"),
         F.when(k % 4 == 0, True).when(k % 4 == 2, F.lit(None)).otherwise(False).alias("approved"),
         (k % 41 != 0).alias("request_ok"), (k % 43 != 0).alias("checksum_ok"), (k % 47 != 0).alias("mask_binary"),
-        F.lit(64).alias("mask_pixels"), F.least(F.lit(64).cast("bigint"), F.col("n_chars") % 80).alias("white_pixels"))
+        F.lit(8).alias("image_height"), F.when(k % 37 == 0, 16).otherwise(8).alias("image_width"), F.lit(8).alias("mask_height"), F.lit(8).alias("mask_width"), F.least(F.lit(64).cast("bigint"), F.col("n_chars") % 80).alias("white_pixels"))
     toxic = b.contents(t).filter("truth = 'NG'")
     return g.generated_gate(items, g.forbidden_set(heldout(t), toxic), True)
 

@@ -19,21 +19,22 @@ def case(name, condition):
     return f"CASE WHEN {condition} THEN '{name}' END"
 
 
-@query("validate_predictions", f"""WITH {b.DECISIONS} SELECT sample_id, concat_ws(',', {case('decision', 'sample_id % 83 = 0')},
-  {case('score', 'sample_id % 73 = 0')}, {case('latency_ms', 'sample_id % 71 = 0')}, {case('thresholds_used', 'sample_id % 79 = 0')},
+@query("validate_predictions", f"""WITH {b.DECISIONS} SELECT sample_id, concat_ws(',', {case('feature_norm_decision', 'sample_id % 67 = 0')}, {case('final_decision', 'sample_id % 83 = 0')},
+  {case('feature_norm_score', 'sample_id % 73 = 0')}, {case('patchcore_score', 'sample_id % 59 = 0')}, {case('latency_ms', 'sample_id % 71 = 0')}, {case('thresholds_used', 'sample_id % 79 = 0')},
   {case('threshold_nan', 'sample_id % 79 <> 0 AND sample_id % 61 = 0')}, {case('plugin_name', 'sample_id % 89 = 0')},
-  {case('artifact', 'sample_id % 97 = 0')}) AS violations FROM dec""")
+  {case('pixel_score_map_bytes', 'sample_id % 97 = 0')}, {case('binary_mask_bytes', 'sample_id % 53 = 0')}) AS violations FROM dec""")
 def _(t):
     key = F.col("sample_id")
     bad = lambda n: key % n == 0
     nan = F.lit(float("nan"))
     rows = b.decisions(t).select(
-        key.cast("string").alias("sample_id"), key.alias("_key"), "category", F.when(bad(73), nan).otherwise(F.col("score")).alias("score"),
-        F.when(bad(83), "MAYBE").otherwise(F.col("official")).alias("decision"), F.when(bad(71), -1.0).otherwise(F.col("latency_ms")).alias("latency_ms"),
+        key.cast("string").alias("sample_id"), key.alias("_key"), "category", F.when(bad(73), nan).otherwise(F.col("score")).alias("feature_norm_score"),
+        F.when(~bad(59), F.col("score")).alias("patchcore_score"), F.when(~bad(67), F.col("shadow")).alias("feature_norm_decision"), F.col("official").alias("patchcore_decision"),
+        F.when(bad(83), "MAYBE").otherwise(F.col("official")).alias("final_decision"), F.when(bad(71), -1.0).otherwise(F.col("latency_ms")).alias("latency_ms"),
         F.when(bad(79), F.create_map().cast("map<string,double>")).otherwise(F.create_map(
             F.lit("image_threshold"), F.col("threshold"), F.lit("pixel_threshold"), F.when(bad(61), nan).otherwise(F.lit(0.5)))).alias("thresholds_used"),
         F.when(bad(89), " ").otherwise("detector").alias("plugin_name"), F.lit("3").alias("plugin_version"), F.lit("v1").alias("model_version"),
-        F.when(bad(97), 0).otherwise(1024).alias("artifact_bytes"))
+        F.when(bad(97), 0).otherwise(1024).alias("pixel_score_map_bytes"), F.when(~bad(53), 512).alias("binary_mask_bytes"))
     return rows.select(F.col("_key").alias("sample_id"), v.prediction_violations().alias("violations"))
 
 
@@ -131,6 +132,15 @@ nr AS (SELECT k, min(depth) AS depth FROM mk GROUP BY 1)
 SELECT image, CASE WHEN n = 1 THEN mask END AS mask, coalesce(n, 0) AS n_matches, CASE WHEN n > 1 THEN 'ambiguous_masks' END AS error
 FROM img LEFT JOIN nr USING (k) LEFT JOIN d ON d.k = img.k AND d.depth = nr.depth""")
 def _(t):
+    return k.mask_lookup_strict(image_paths(t).select("image"), mask_paths(t), ignore_case=True)
+
+
+@query("mask_lookup_exact", f"""WITH {IMAGES}, {FILES}, ex AS (SELECT * FROM mk WHERE NOT contains(mask, '.BMP')), d AS (SELECT k, depth, count(DISTINCT mask) AS n, min(mask) AS mask FROM ex GROUP BY 1, 2),
+nr AS (SELECT k, min(depth) AS depth FROM ex GROUP BY 1)
+SELECT image, CASE WHEN n = 1 THEN mask END AS mask, coalesce(n, 0) AS n_matches, CASE WHEN n > 1 THEN 'ambiguous_masks' END AS error
+FROM img LEFT JOIN nr USING (k) LEFT JOIN d ON d.k = img.k AND d.depth = nr.depth""")
+def _(t):
+    """Mask extensions as exact names: an upper-case extension is another name."""
     return k.mask_lookup_strict(image_paths(t).select("image"), mask_paths(t))
 
 

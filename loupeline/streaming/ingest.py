@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from loupeline.functions.decisions import utc_text
+
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int) -> DataFrame:
     """Parquet files of a folder as a stream; ``files_per_trigger`` sets the size of a micro-batch."""
@@ -53,10 +55,13 @@ def ingest_against_store(source: DataFrame, store: str, checkpoint: str, on=("ca
     return run_available(source.writeStream.foreachBatch(accept), checkpoint)
 
 
-def event_log(source: DataFrame, log: str, checkpoint: str, event: str, columns: list[str]) -> StreamingQuery:
-    """Append-only event log, one folder per stream and micro-batch so that a replay replaces its own events only."""
+def event_log(source: DataFrame, log: str, checkpoint: str, event: str, columns: list[str], at: str | None = None) -> StreamingQuery:
+    """Append-only event log, one folder per stream and micro-batch so that a replay replaces its own events only. ``at`` names the column
+    with the time of an event; it is logged as UTC text."""
+    stamp = [utc_text(at).alias("at")] if at else []
+
     def append(batch: DataFrame, batch_id: int) -> None:
         own = stream_id(batch.sparkSession, checkpoint)
-        batch.select(F.lit(event).alias("event"), *columns).write.mode("overwrite").parquet(f"{log}/stream_id={own}/event_batch={batch_id}")
+        batch.select(F.lit(event).alias("event"), *stamp, *columns).write.mode("overwrite").parquet(f"{log}/stream_id={own}/event_batch={batch_id}")
 
     return run_available(source.writeStream.foreachBatch(append), checkpoint)
