@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C1B  # odd and 3 modulo 8, so that its powers differ in low bits
 _MASK = (1 << 64) - 1
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20241130)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,7 +81,7 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = GROUP_BYTES) -> np.ndarray:
     """64-bit hash of every word; memory stays bounded by cutting long data between words."""
-    if len(data) <= 2 * limit:
+    if len(data) <= limit:
         return _hashed(data, start, end)
     out, first = np.empty(len(start), dtype=np.uint64), 0
     while first < len(start):

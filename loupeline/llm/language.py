@@ -24,7 +24,7 @@ from loupeline.llm import common
 
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 1000
-PART_BYTES = 1 << 19
+PART_BYTES = 1 << 18
 
 
 @cache

@@ -106,7 +106,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_ids: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in common.slices(batch, "text"):
+            for part in common.slices(batch, "text", 2 << 20):
                 ids, first = tokens(tokenizer).encode(common.raw(part.column("text")))
                 rows, bodies = [], []
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), first[:-1], first[1:]):
