@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loupeline.llm import common
+from loupeline.llm import common, shingles
 from loupeline.llm.components import components
 from loupeline.session import written
 
@@ -178,12 +178,20 @@ def links(distinct: DataFrame) -> DataFrame:
     return ordered.mapInArrow(search, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id``, the smallest doc_id reachable over links, for every document."""
-    marked = written(fingerprints(docs, text, ["doc_id"], shingle), "fingerprints")
+def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id``, the smallest doc_id reachable over links, for every document.
+
+    With a ``similarity``, texts whose sets of five-word shingles are at least so similar link too, however far their fingerprints are.
+    """
+    prints = fingerprints(docs, text, ["doc_id"], shingle) if similarity is None else shingles.signatures(docs, text, lambda texts: fingerprints_of(texts, shingle))
+    marked = written(prints, "fingerprints")
     heads = written(marked.groupBy("fp").agg(F.min("doc_id").alias("head")), "fingerprint-heads")
     parts = components(links(heads.select("fp")))
     least = (heads.join(parts, heads["fp"] == parts["node"], "left").select("fp", "head", F.coalesce("root", "fp").alias("root")))
+    if similarity is not None:
+        least = written(least, "fingerprint-roots")
+        wider = components(shingles.links(docs, text, marked, least.select("fp", "root"), similarity))
+        least = least.join(wider.withColumnRenamed("root", "wider"), least["root"] == wider["node"], "left").select("fp", "head", F.coalesce("wider", "root").alias("root"))
     smallest = least.groupBy("root").agg(F.min("head").alias("component_id"))
     classes = written(least.join(smallest, "root").select("fp", "component_id"), "fingerprint-classes")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
@@ -193,10 +201,10 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: that of the smallest doc_id.
 
     Repeated rows leave one; documents without a doc_id stay unless their rows are equal in text.
     """
-    copies = near_duplicates(docs, text, shingle).where("doc_id <> component_id").select("doc_id").distinct()
+    copies = near_duplicates(docs, text, shingle, similarity).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", text]).select(*(f"`{c}`" for c in docs.columns))
