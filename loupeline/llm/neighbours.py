@@ -6,8 +6,8 @@ of each table. Buckets are cut into chunks by counted size, so a bucket that hol
 a third of all queries, becomes many blocks; a block multiplies its queries with its vectors and only its best pairs leave the
 task, with their exact scores. The best of all blocks are kept per query.
 
-Equal vectors are indexed once: of each class the ``k + 1`` smallest ids are enough for any answer. Queries that are equal are
-searched once. A query that finds fewer than ``k`` others although there are more (tiny or odd tables) is searched again in blocks against all vectors, so
+Equal vectors are indexed once: of each class the rows of smallest ids are enough for any answer, ``k`` of them besides those of any one id. Queries
+that are equal are searched once. A query that finds fewer than ``k`` others although there are more (tiny or odd tables) is searched again in blocks against all vectors, so
 every query has its full number of answers. All vectors are indexed; nothing is sampled.
 
 ``hashes`` rotations per table make longer keys for larger tables: a table has (2 d) ** hashes buckets.
@@ -147,14 +147,23 @@ def _top(rows: DataFrame, by: str, n: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
+def _besides_any(rows: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
+    """The first rows of each group that are enough to hold the first ``k`` of other ids, whichever one id is left out.
+
+    No answer needs more than ``k`` rows of one id; of the first ``2 k`` rows so limited, at least ``k`` stay without any one id.
+    """
+    own = rows.withColumn("_own", F.row_number().over(W.partitionBy(by, "vec_id").orderBy(*order))).where(F.col("_own") <= k)
+    return own.withColumn("_at", F.row_number().over(W.partitionBy(by).orderBy(*order))).where(F.col("_at") <= 2 * k)
+
+
 def nearest(table: DataFrame, is_query: Column, k: int = 20, tables: int = 4, probes: int = 36, hashes: int = 1, seed: int = 20, vec_id: str = "vec_id",
             embedding: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every row of ``table`` for which ``is_query`` (a condition on vec_id) holds."""
     rows = written(vectors(table, vec_id, embedding), "vectors")
-    first = W.partitionBy("vec").orderBy("vec_id")
-    members = written(rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1), "vector-classes")
-    classes = members.where("n = 1").select(F.col("vec_id").alias("id"), "vec")
-    asked = written(rows.where(is_query).join(classes.withColumnRenamed("id", "class"), "vec").select(F.col("vec_id").alias("query_id"), "class"), "queries")
+    members = written(_besides_any(rows, "vec", [F.col("vec_id")], k).withColumnsRenamed({"_own": "copy", "_at": "n"}), "vector-classes")
+    # numbered in the order of their smallest ids, which several classes share if an id has several vectors
+    classes = written(members.where("n = 1").orderBy("vec_id", "vec").select(F.monotonically_increasing_id().alias("id"), "vec"), "class-numbers")
+    asked = written(rows.where(is_query).distinct().join(classes.withColumnRenamed("id", "class"), "vec").select(F.col("vec_id").alias("query_id"), "class"), "queries")
     wanted = asked.select(F.col("class").alias("id")).distinct()
     queries = written(classes.join(wanted, "id").select("id", "vec"), "query-vectors")
 
@@ -165,23 +174,33 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, tables: int = 4, pr
     found = written(_top(_top(pairs, "query", keep * tables).drop("rank").groupBy("query", "vec_id").agg(F.max("score").alias("score")), "query", keep).drop("rank"), "found")
 
     size = F.length("vec").cast("string")
-    members_of = members.join(classes.select(F.col("id").alias("class"), "vec"), "vec").select("class", "vec_id", size.alias("key"))
-    answer = _expand(found, members_of, k + 1)
+    members_of = members.join(classes.select(F.col("id").alias("class"), "vec"), "vec").select("class", "vec_id", "copy")
+    answer = _expand(found, members_of, k)
     total = members.groupBy(size.alias("key")).agg(F.count("*").alias("there"))
-    short = written(queries.withColumn("key", size).join(total, "key")
-                    .join(answer.groupBy("query").agg(F.count("*").alias("here")), F.col("id") == F.col("query"), "left")
-                    .where(F.coalesce("here", F.lit(0)) < F.least(F.lit(k + 1), "there")).select("key", "id", "vec"), "short")
-    if short.limit(1).count():
+    own = members.where(is_query).groupBy(size.alias("key"), F.col("vec_id").alias("query_id")).agg(F.count("*").alias("own"), F.count_if(F.col("copy") == 1).alias("own_classes"))
+    here = _others(asked, answer).groupBy("query_id", "class").agg(F.count("*").alias("here"))
+    lacking = (asked.join(queries.select(F.col("id").alias("class"), "vec", size.alias("key")), "class").join(total, "key").join(own, ["key", "query_id"], "left").join(here, ["query_id", "class"], "left")
+               .where(F.coalesce("here", F.lit(0)) < F.least(F.lit(k), F.col("there") - F.coalesce("own", F.lit(0)))))
+    short = written(lacking.groupBy(F.col("class").alias("id"), "vec", "key").agg(F.max(F.coalesce("own_classes", F.lit(1))).alias("own_classes")), "short")
+    most = short.agg(F.max("own_classes")).first()[0]
+    if most is not None:
+        short = short.select("key", "id", "vec")
+        keep = k + most + SPARE  # the classes of a query's own id may all come first
         data = classes.withColumn("key", size)
         counts = data.groupBy("key").agg(F.count("*").alias("n_data")).join(short.groupBy("key").agg(F.count("*").alias("n_queries")), "key")
         again = written(_top(_in_blocks(short, data.select("key", "id", "vec"), counts, keep), "query", keep).drop("rank"), "found")
         found = found.join(short.select(F.col("id").alias("query")), "query", "left_anti").unionByName(again)
-        answer = _expand(found, members_of, k + 1)
-    each = asked.join(answer.select(F.col("query").alias("class"), "vec_id", "score"), "class").where("vec_id <> query_id")
+        answer = _expand(found, members_of, k)
+    each = _others(asked, answer).groupBy("query_id", "of", "vec_id", "copy").agg(F.max("score").alias("score"))  # a row once, if a query id has several vectors
     return _top(each.select("query_id", "vec_id", "score"), "query_id", k).select("query_id", "rank", "vec_id", "score")
 
 
-def _expand(found: DataFrame, members_of: DataFrame, n: int) -> DataFrame:
-    """The ``n`` nearest rows of each query class, from its nearest classes."""
-    rows = found.select("query", F.col("vec_id").alias("class"), "score").join(members_of, "class").select("query", "vec_id", "score")
-    return _top(rows, "query", n).drop("rank")
+def _others(asked: DataFrame, answer: DataFrame) -> DataFrame:
+    """Answers to the class of every query, without rows of its own id."""
+    return asked.join(answer.withColumnRenamed("query", "class"), "class").where("vec_id <> query_id")
+
+
+def _expand(found: DataFrame, members_of: DataFrame, k: int) -> DataFrame:
+    """Enough of the nearest rows of each query class, from its nearest classes ``of``, for ``k`` besides any one id."""
+    rows = found.select("query", F.col("vec_id").alias("class"), "score").join(members_of, "class").select("query", F.col("class").alias("of"), "vec_id", "copy", "score")
+    return _besides_any(rows, "query", [F.desc("score"), F.col("vec_id")], k).drop("_own", "_at")
