@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, warc
+from loupeline.llm import centroids, decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,3 +151,25 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(read(spark, folder, "documents"), keep=["doc_id"])
     words = F.regexp_replace(F.regexp_replace(F.coalesce("kept_text", F.lit("")), _SPACES, " "), "^ | $", "")
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    near = """(SELECT vec_id, q, c AS cluster, d AS distance FROM (SELECT v.vec_id, v.q, t.c, d, row_number() OVER (PARTITION BY v.rowid ORDER BY d, t.c) AS n
+ FROM v, {t} t, LATERAL (SELECT list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.q, t.q)])::BIGINT AS d)) WHERE n = 1)"""
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS rowid, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+             f"t0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS c, q FROM v ORDER BY c LIMIT {k})"]
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED {near.format(t=f't{i}')}")
+        steps.append(f"""m{i} AS MATERIALIZED (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM
+ (SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(q) AS x, unnest(range(1, len(q) + 1)) AS i FROM a{i}) GROUP BY ALL) GROUP BY cluster)""")
+        steps.append(f"t{i + 1} AS MATERIALIZED (SELECT t.c, coalesce(m.q, t.q) AS q FROM t{i} t LEFT JOIN m{i} m ON m.cluster = t.c)")
+    steps.append(f"a AS MATERIALIZED {near.format(t=f't{rounds}')}")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(t.q, ',')) AS centroid_sha256 FROM a JOIN t{rounds} t ON t.c = a.cluster"""
+
+
+@query("op13_centroid_clustering", _centroid_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(read(spark, folder, "embeddings"), k=16, rounds=3, dimensions=64, scale=64))
