@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import centroids, decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, warc
+from loupeline.llm import centroids, decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -173,3 +173,29 @@ SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION
 @query("op13_centroid_clustering", _centroid_sql())
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster(read(spark, folder, "embeddings"), k=16, rounds=3, dimensions=64, scale=64))
+
+
+# crc32 by a table made of eight steps per byte; letters beyond ASCII have two bytes
+VARIANTS_SQL = f"""WITH runs AS MATERIALIZED (SELECT doc_id, run, count(*) AS m FROM (SELECT doc_id,
+  unnest(regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+steps AS MATERIALIZED (SELECT list(list_reduce(list_prepend(c, range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY c) AS t FROM (SELECT unnest(range(256)) AS c)),
+hashed AS MATERIALIZED (SELECT runs.*, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([CASE WHEN u < 128 THEN [u::BIGINT] ELSE [(192 + (u >> 6))::BIGINT, (128 + (u & 63))::BIGINT] END
+    FOR u IN [unicode(x) FOR x IN string_split(doc_id || ':' || run, '')]])), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, steps),
+words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, m FROM hashed),
+v AS MATERIALIZED (SELECT word, sum(m)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+cuts AS MATERIALIZED (SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+shorter AS (SELECT DISTINCT a.word AS a, a.n AS an, b.word AS b, b.n AS bn FROM cuts a JOIN v b ON b.word = a.rest),
+near AS MATERIALIZED (SELECT a.word AS a, a.n AS an, b.word AS b, b.n AS bn FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT * FROM shorter UNION SELECT b, bn, a, an FROM shorter),
+best AS (SELECT a AS word, count(*) AS n_near, max(bn) AS bn FROM near GROUP BY a),
+told AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * v.n THEN (SELECT min(b) FROM near WHERE near.a = v.word AND near.bn = best.bn) END AS form,
+  CASE WHEN bn >= 2 * v.n THEN bn END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (WITH RECURSIVE c AS (SELECT word, form AS at FROM told WHERE form IS NOT NULL UNION ALL SELECT c.word, told.form FROM c JOIN told ON told.word = c.at WHERE told.form IS NOT NULL)
+  SELECT c.word, c.at FROM c JOIN told ON told.word = c.at AND told.form IS NULL)
+SELECT told.word, form, coalesce(chain.at, told.word) AS root, n, n_near, form_n FROM told LEFT JOIN chain ON chain.word = told.word"""
+
+
+@query("op11_spelling_variants", VARIANTS_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = variants.thinned(variants.runs(read(spark, folder, "documents")), every=97)
+    return variants.group(variants.vocabulary(found, letters=5, occurrences=3))
