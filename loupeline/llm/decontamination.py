@@ -10,8 +10,8 @@ documents, and spans and items of the blocks are united, so a larger test set me
 Words are compared by 64-bit hashes.
 
 Texts are lower-cased in A-Z; words are runs of digits, letters and all characters beyond ASCII. Null or empty texts have no words; items
-without words and items without an id are ignored; items that share an id count once. Repeated documents are treated each.
-Result names replace clashing input columns.
+without words are ignored; items that share an id count once. Items without an id hit words as all others; together they count as one item,
+which is null in ``items``. Repeated documents are treated each. Result names replace clashing input columns.
 """
 from __future__ import annotations
 
@@ -30,6 +30,11 @@ SHARD_BYTES = 4 << 20
 SPANS = "array<struct<first:int,last:int>>"
 
 
+def by_name(names: set[str | None]) -> list[str | None]:
+    """Item names in order, items without one last."""
+    return sorted(names, key=lambda name: (name is None, name or ""))
+
+
 @dataclass(frozen=True)
 class Phrases:
     """Distinct phrases of a block of test items."""
@@ -39,13 +44,13 @@ class Phrases:
     length: np.ndarray
     first: np.ndarray  # items of phrase p are items[first[p]:first[p + 1]]
     items: np.ndarray
-    names: list[str]
+    names: list[str | None]
 
     @staticmethod
-    def of(items: list[tuple[str, str]], window: int) -> Phrases:
+    def of(items: list[tuple[str | None, str]], window: int) -> Phrases:
         group = common.Group([text.encode() for _, text in items], common.WORD_BYTE, lower=True)
         vocabulary, symbol = np.unique(group.hashes(), return_inverse=True)
-        names = sorted({name for name, _ in items})
+        names = by_name({name for name, _ in items})
         number = {name: i for i, name in enumerate(names)}
         rows, owners = [], []
         for i, (name, _) in enumerate(items):
@@ -129,9 +134,9 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*parts, data[at:]]).decode()
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str, str]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str | None, str]]]:
     """Test items in blocks of bounded size."""
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("item is not null and text is not null")
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // BLOCK_BYTES))
     for k in range(n):
@@ -162,7 +167,7 @@ def _pass(docs: DataFrame, phrases: Phrases, text: str, clean: bool) -> DataFram
                 base = group.first[doc]
                 made = {"n_words": pa.array(np.diff(group.first), pa.int64()),
                         "spans": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(start - base, pa.int32()), pa.array(end - base, pa.int32())], fields=list(pair))),
-                        "items": pa.array([sorted({*before, *(block.names[i] for i in own)}) for before, own in zip(part.column("items").to_pylist(), found)], pa.list_(pa.string()))}
+                        "items": pa.array([by_name({*before, *(block.names[i] for i in own)}) for before, own in zip(part.column("items").to_pylist(), found)], pa.list_(pa.string()))}
                 columns = [made[c] if c in made else part.column(c) for c in names]
                 if clean:
                     a, b = group.start[start] - group.offsets[doc], group.end[end - 1] - group.offsets[doc]

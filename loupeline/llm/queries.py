@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loupeline.llm import centroids, decontamination, html_text, language, neighbours, packing, quality, simhash, substring_dedup, url_filter, variants, warc
+from loupeline.llm import centroids, decontamination, html_text, language, neighbours, ngram_join, packing, quality, simhash, substring_dedup, url_filter, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -199,3 +199,19 @@ SELECT told.word, form, coalesce(chain.at, told.word) AS root, n, n_near, form_n
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     found = variants.thinned(variants.runs(read(spark, folder, "documents")), every=97)
     return variants.group(variants.vocabulary(found, letters=5, occurrences=3))
+
+
+JACCARD_SQL = f"""WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT k, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+sizes AS MATERIALIZED (SELECT k, count(*) AS n FROM s GROUP BY k),
+met AS MATERIALIZED (SELECT a.k AS i, b.k AS j, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.k < b.k GROUP BY ALL),
+links AS MATERIALIZED (SELECT i, j FROM met JOIN sizes x ON x.k = i JOIN sizes y ON y.k = j WHERE 100 * m >= 90 * (x.n + y.n - m)),
+sides AS MATERIALIZED (SELECT i, j FROM links UNION ALL SELECT j, i FROM links),
+reach AS (SELECT k AS i, k AS j FROM d UNION SELECT reach.i, sides.j FROM reach JOIN sides ON sides.i = reach.j),
+least AS (SELECT reach.i AS k, min(d.doc_id) AS component_id FROM reach JOIN d ON d.k = reach.j GROUP BY reach.i)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN sizes USING (k) JOIN least USING (k)"""
+
+
+@query("op12_ngram_join", JACCARD_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, folder, "documents"), share=(90, 100), shingle=3)

@@ -25,7 +25,8 @@ from loupeline.llm import common, url_filter
 from loupeline.session import written
 
 LETTERS = "[A-Za-zÀ-ÿ]+"
-BITS, PROBES, SHARD_BYTES, LOAD_BYTES = 16, 6, 1 << 20, 32 << 20
+BITS, PROBES, SHARD_BYTES, LOAD_BYTES = 16, 6, 1 << 16, 32 << 20
+TASK_WORDS = 1 << 14  # words whose edits one task probes
 PART = 1 << 20  # edits that are made at once
 _VALUES = np.random.Generator(np.random.PCG64(20250117)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers = common.Powers(common.MULTIPLIER)
@@ -120,28 +121,31 @@ def by_length(words: list[str]) -> Iterator[tuple[int, list[bytes]]]:
             yield length, found[at:at + max(1, PART // (8 * length))]
 
 
-def probe(words: list[bytes], length: int, letters: np.ndarray, shape: dict[int, tuple[int, int]], load: dict[tuple[int, int], np.ndarray]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Places of words, and edits of them that a filter of the load holds."""
+def tables(shape: dict[int, tuple[int, int]], load: dict[tuple[int, int], np.ndarray]) -> dict[int, np.ndarray]:
+    """Filters of a load by word length, a row per shard; shards of other loads are empty."""
+    out = {}
+    for (length, shard), bits in load.items():
+        out.setdefault(length, np.zeros(shape[length], dtype=np.uint64))[shard] = bits
+    return out
+
+
+def probe(words: list[bytes], length: int, letters: np.ndarray, held: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Places of words, and edits of them that a filter of ``held`` (see ``tables``) has."""
     code = matrix(words, length)
     hashes = Hashes(code)
 
     def hits(hashed: np.ndarray, size: int) -> np.ndarray:
-        shard, block, bits = address(hashed, *shape[size])
-        found = np.zeros(len(hashed), dtype=bool)
-        for s in range(shape[size][0]):
-            if (size, s) in load:
-                mine = slice(None) if shape[size][0] == 1 else np.flatnonzero(shard == s)
-                found[mine] = load[size, s][block[mine]] & bits[mine] == bits[mine]
-        return np.flatnonzero(found)
-
-    if any(size == length - 1 for size, _ in load):
+        shard, block, bits = address(hashed, *held[size].shape)
+        return np.flatnonzero(held[size][shard, block] & bits == bits)
+
+    if length - 1 in held:
         deleted = hashes.deleted()
         fresh = np.ones(code.shape, dtype=bool)
         fresh[:, 1:] = code[:, 1:] != code[:, :-1]  # deleting either of two equal letters gives one word
         row, place = np.nonzero(fresh)
         at = hits(deleted[row, place], length - 1)
         yield row[at], [words[r][:p] + words[r][p + 1:] for r, p in zip(row[at].tolist(), place[at].tolist())]
-    if any(size == length for size, _ in load):
+    if length in held:
         for place in range(length):
             for letter in letters:
                 row = np.flatnonzero(code[:, place] < letter)
@@ -181,18 +185,19 @@ def near_words(words: DataFrame) -> DataFrame:
         letters = words.select(F.explode(F.split("word", "")).alias("c")).where("c <> ''").distinct().collect()  # at most the letters of LETTERS
         letters = np.array(sorted(ord(r.c) for r in letters), dtype=np.uint8)
         stored = written(filters(words, shape), "word-filters")
+        spread = words.repartition(-(-sum(counts.values()) // TASK_WORDS), "word")  # few bytes, but much work
         for load in _loads(spark, stored):
-            held = spark.sparkContext.broadcast(load)
+            held = spark.sparkContext.broadcast(tables(shape, load))
 
             def probed(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     n = dict(zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()))
                     for length, mine in by_length(list(n)):
-                        for at, edits in probe(mine, length, letters, shape, held.value):
+                        for at, edits in probe(mine, length, letters, held.value):
                             names = [mine[i].decode("latin-1") for i in at.tolist()]
                             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[w] for w in names], pa.int64()), pa.array([e.decode("latin-1") for e in edits], pa.string())], names=["word", "n", "other"])
 
-            hits = written(words.mapInArrow(probed, "word string, n bigint, other string"), "probed-edits")
+            hits = written(spread.mapInArrow(probed, "word string, n bigint, other string"), "probed-edits")
             found = hits if found is None else found.unionByName(hits)
             held.unpersist()
     if found is None:

@@ -83,7 +83,7 @@ def members(stream) -> Iterator[bytes]:
 def parse(member: bytes) -> dict:
     """Named fields and block of a record; checks its framing and digests."""
     head, mark, rest = member.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    lines = head.decode(errors="replace").split("\r\n")
     if not mark or lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise WarcError("no WARC header")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
@@ -95,13 +95,26 @@ def parse(member: bytes) -> dict:
         raise WarcError("the content length is wrong")
     if fields.get("WARC-Block-Digest") != f"sha1:{sha1_base32(block)}":
         raise WarcError("the block digest is wrong")
+    for name in ("WARC-Type", "WARC-Payload-Digest", "WARC-Record-ID"):
+        if name not in fields:
+            raise WarcError(f"no {name}")
     http, mark, payload = block.partition(b"\r\n\r\n")
     revisit = fields["WARC-Type"] == "revisit"
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
     if not mark or revisit and payload or not revisit and sha1_base32(payload) != digest:
         raise WarcError("the payload digest is wrong")
-    number = lambda value: None if value in ("", "None") else int(value)
-    page = lambda name: number(fields.get(name, "").removeprefix("<urn:page:").removesuffix(">"))
+
+    def page(name: str) -> int | None:
+        value = fields.get(name, "").removeprefix("<urn:page:").removesuffix(">")
+        if value in ("", "None"):
+            return None
+        try:
+            return int(value)
+        except ValueError:
+            raise WarcError(f"{name} names no page") from None
+
+    if revisit and page("WARC-Refers-To") is None:
+        raise WarcError("a revisit refers to no record")
     return {"page_id": page("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"],
             "refers_to": page("WARC-Refers-To"), "payload_digest": digest, "payload": None if revisit else payload}
 
@@ -178,8 +191,13 @@ def read_archives(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """``records`` with ``payload_bytes`` of the full payload; a revisit's is that of the response it refers to."""
+    """``records`` with ``payload_bytes`` of the full payload; a revisit's is that of the response it refers to.
+
+    A revisit whose response is not among the records, or has another digest, is an error: its payload is lost.
+    """
     sized = written(records.select("page_id", "url", "record_type", "refers_to", "payload_digest", F.length("payload").cast("bigint").alias("_own")), "warc-records")
-    sizes = sized.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("_own").alias("_full"))
-    return (sized.join(sizes, "payload_digest", "left")
-            .select("page_id", "url", "record_type", "refers_to", "payload_digest", F.coalesce("_own", "_full").alias("payload_bytes")))
+    whole = sized.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("_own").alias("_full"))
+    lost = F.raise_error(F.concat(F.lit("the response of a revisit is lost: page "), F.col("refers_to").cast("string")))
+    size = F.when(F.col("record_type") != "revisit", F.col("_own")).when(F.col("_full").isNull(), lost.cast("bigint")).otherwise(F.col("_full"))
+    return (sized.join(written(whole, "warc-sizes"), ["refers_to", "payload_digest"], "left")
+            .select("page_id", "url", "record_type", "refers_to", "payload_digest", size.alias("payload_bytes")))
