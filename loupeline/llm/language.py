@@ -67,18 +67,26 @@ class Model:
     weights: np.ndarray  # log-probability of every bucket, one column per language
     prior: np.ndarray
 
-    def score(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
-        """Most likely language and its probability; of equally likely ones the first in name order."""
+    def judge(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Most likely language, its probability (of equally likely ones the first in name order), and how well it fits.
+
+        The probability says how far the language is ahead of the others, which is far for any text of some length. The fit says whether the text is
+        in the language at all: the mean log-likelihood of its n-grams, less that of n-grams drawn evenly from all buckets.
+        """
         bucket, owner, letters = grams(texts)
-        total = np.tile(self.prior, (len(texts), 1))
-        for k in range(len(self.languages)):
-            total[:, k] += np.bincount(owner, self.weights[bucket, k], minlength=len(texts))
+        known, count = letters > 0, np.bincount(owner, minlength=len(texts))
         if not self.languages:
-            return ["und"] * len(texts), np.zeros(len(texts))
+            return ["und"] * len(texts), np.zeros(len(texts)), np.full(len(texts), -np.inf)
+        total = np.stack([np.bincount(owner, self.weights[bucket, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1)
+        mean = total / np.maximum(count, 1)[:, None] + np.log(BUCKETS)
+        total = total + self.prior
         best = total.argmax(1)
         score = 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-        known = letters > 0
-        return [self.languages[b] if k else "und" for b, k in zip(best, known)], np.where(known, score, 0.0)
+        fit = np.take_along_axis(mean, best[:, None], 1)[:, 0]
+        return [self.languages[b] if k else "und" for b, k in zip(best, known)], np.where(known, score, 0.0), np.where(known, fit, -np.inf)
+
+    def score(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
+        return self.judge(texts)[:2]
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", alpha: float = 0.1) -> Model:
@@ -102,21 +110,25 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", alpha: fl
 
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
     counts = common.bounded(rows).mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    per_language = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("row"))  # at most BUCKETS + 1 entries each
-    found = {r["lang"]: r["row"] for r in per_language.limit(MAX_LANGUAGES + 1).collect()}
+
+    def packed(key, rows):
+        row = np.zeros(BUCKETS + 1, dtype="<i8")
+        row[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+        return pa.table({"lang": [key[0].as_py()], "row": pa.array([row.tobytes()], pa.binary())})
+
+    # one array per language reaches the driver; a group has at most BUCKETS + 1 rows
+    found = {r["lang"]: r["row"] for r in counts.groupBy("lang").applyInArrow(packed, "lang string, row binary").limit(MAX_LANGUAGES + 1).collect()}
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = tuple(sorted(found))
-    table = np.zeros((BUCKETS + 1, len(languages)))
-    for k, name in enumerate(languages):
-        at, n = np.array([(x["bucket"], x["n"]) for x in found[name]], dtype=np.int64).T
-        table[at, k] = n
+    table = np.stack([np.frombuffer(found[name], dtype="<i8") for name in languages], axis=1).astype(float) if languages else np.zeros((BUCKETS + 1, 0))
     texts = table[-1] + 1.0
     table = table[:-1] + alpha
     return Model(languages, np.log(table / table.sum(0)), np.log(texts / texts.sum()) if len(languages) else np.zeros(0))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or the columns of it in ``keep``) with ``lang_pred`` and ``score``."""
+def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, fit: str | None = None) -> DataFrame:
+    """``docs`` (or the columns of it in ``keep``) with ``lang_pred`` and ``score``, and the fit under the name ``fit`` if one is given."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return common.with_columns(docs, text, docs.columns if keep is None else keep, "lang_pred string, score double", lambda texts: shared.value.score(texts), PART_BYTES)
+    added = "lang_pred string, score double" + (f", {fit} double" if fit else "")
+    return common.with_columns(docs, text, docs.columns if keep is None else keep, added, lambda texts: shared.value.judge(texts)[: 3 if fit else 2], PART_BYTES)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -121,12 +122,18 @@ def _best_pairs(queries: pd.DataFrame, data: pd.DataFrame, keep: int) -> pd.Data
     a, b = _matrix(queries["vec"].tolist()), _matrix(data["vec"].tolist())
     product = a @ b.T
     take = min(keep, len(b))
-    top = np.argpartition(-product, take - 1, axis=1)[:, :take]
-    rows = np.repeat(np.arange(len(a)), take)
+    last = -np.partition(-product, take - 1, axis=1)[:, take - 1]
+    # the product rounds: all that come near the last one kept are scored exactly, so that ties go by id
+    room = 1e-12 * (1 + np.abs(a).max(1) * np.abs(b).max() * a.shape[1])
+    rows, columns = np.nonzero(product >= (last - room)[:, None])
     score = np.zeros(len(rows))
     for d in range(a.shape[1]):  # component order, so that equal vectors get equal scores
-        score += a[rows, d] * b[top.ravel(), d]
-    return pd.DataFrame({"query": queries["id"].to_numpy()[rows], "vec_id": data["id"].to_numpy()[top.ravel()], "score": score})
+        score += a[rows, d] * b[columns, d]
+    ids = data["id"].to_numpy()[columns]
+    order = np.lexsort((ids, -score, rows))
+    first = np.searchsorted(rows[order], np.arange(len(a)))
+    order = order[np.arange(len(order)) - first[rows[order]] < take]
+    return pd.DataFrame({"query": queries["id"].to_numpy()[rows[order]], "vec_id": ids[order], "score": score[order]})
 
 
 def _in_blocks(queries: DataFrame, data: DataFrame, counts: DataFrame, keep: int) -> DataFrame:
@@ -156,13 +163,34 @@ def _besides_any(rows: DataFrame, by: str, order: list[Column], k: int) -> DataF
     return own.withColumn("_at", F.row_number().over(W.partitionBy(by).orderBy(*order))).where(F.col("_at") <= 2 * k)
 
 
-def nearest(table: DataFrame, is_query: Column, k: int = 20, tables: int = 4, probes: int = 36, hashes: int = 1, seed: int = 20, vec_id: str = "vec_id",
+def probes_for(rows: int, dimensions: int, k: int, tables: int, recall: float) -> int:
+    """Probes per table so that a share ``recall`` of the ``k`` nearest of so many unrelated vectors is found.
+
+    Unrelated vectors are the hardest case: the k-th nearest of n has a cosine of about c, the normal quantile of 1 - k / n over the root of the
+    dimension. Its bucket is the axis of its largest coordinate, about m deviations; there the query has c m deviations on average, and every axis
+    that has more than t is probed. A table may miss it, all tables together only in a share 1 - recall.
+    """
+    normal, width = NormalDist(), 1 << max(0, int(dimensions - 1).bit_length())
+    share = min(0.5, k / max(rows, 1))
+    c = min(0.99, normal.inv_cdf(1 - share) / dimensions ** 0.5)
+    m = normal.inv_cdf(1 - 0.5 / (2 * width))
+    t = c * m - normal.inv_cdf(1 - (1 - recall) ** (1 / tables)) * (1 - c * c) ** 0.5
+    return max(1, min(2 * width, round((1 - normal.cdf(t)) * 2 * width)))
+
+
+def nearest(table: DataFrame, is_query: Column, k: int = 20, tables: int = 6, probes: int | None = None, recall: float = 0.95, hashes: int = 1, seed: int = 20, vec_id: str = "vec_id",
             embedding: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every row of ``table`` for which ``is_query`` (a condition on vec_id) holds."""
+    """``query_id, rank, vec_id, score`` of the ``k`` nearest found for every row of ``table`` for which ``is_query`` (a condition on vec_id) holds.
+
+    Without ``probes`` their number follows from the counted rows and ``recall`` (see ``probes_for``).
+    """
     rows = written(vectors(table, vec_id, embedding), "vectors")
     members = written(_besides_any(rows, "vec", [F.col("vec_id")], k).withColumnsRenamed({"_own": "copy", "_at": "n"}), "vector-classes")
     # numbered in the order of their smallest ids, which several classes share if an id has several vectors
     classes = written(members.where("n = 1").orderBy("vec_id", "vec").select(F.monotonically_increasing_id().alias("id"), "vec"), "class-numbers")
+    if probes is None:
+        counted, size = classes.agg(F.count("*"), F.max(F.length("vec") / 8)).first()
+        probes = probes_for(counted, int(size or 1), k, tables, recall)
     asked = written(rows.where(is_query).distinct().join(classes.withColumnRenamed("id", "class"), "vec").select(F.col("vec_id").alias("query_id"), "class"), "queries")
     wanted = asked.select(F.col("class").alias("id")).distinct()
     queries = written(classes.join(wanted, "id").select("id", "vec"), "query-vectors")

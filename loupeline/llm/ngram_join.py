@@ -67,11 +67,12 @@ def segment_keys(hashes: np.ndarray, first: np.ndarray, share: Share) -> tuple[n
 
 def near_duplicates(docs: DataFrame, share: Share, text: str = "text", shingle: int = 3) -> DataFrame:
     """``doc_id, n_shingles`` (size of the set) and ``component_id`` (smallest doc_id reachable over links) of every document."""
-    marked = written(set_links.signatures(docs, text, shingle, lambda hashes, first: segment_keys(hashes, first, share)), "signatures")
+    marked = written(set_links.signatures(docs, text, shingle), "signatures")
     row = F.min(F.struct(set_links.position().alias("ord"), "body")).alias("row")
-    one = marked.where("size > 0").groupBy("node").agg(row, F.min("doc_id").alias("head"), *(F.any_value(c).alias(c) for c in ("size", "low", "bits", "keys")))
-    nodes = written(one.select("node", F.col("node").alias("label"), "head", "row.ord", "row.body", "size", "low", "bits", "keys"), "shingle-nodes")
-    parts = components(set_links.links(docs, text, nodes, share, shingle))
+    one = marked.where("size > 0").groupBy("node").agg(row, F.min("doc_id").alias("head"))
+    nodes = written(one.select("node", F.col("node").alias("label"), "head", "row.ord", "row.body"), "shingle-nodes")
+    keys = set_links.keyed(docs, text, shingle, lambda hashes, first: segment_keys(hashes, first, share))
+    parts = components(set_links.links(docs, text, marked, nodes, keys, share, shingle))
     rooted = nodes.select("node", "head").join(parts, "node", "left").select("node", "head", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted, "node-roots")
     least = rooted.groupBy("root").agg(F.min("head").alias("component_id"))

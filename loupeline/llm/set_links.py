@@ -5,12 +5,15 @@ Whatever makes the keys (segments of the sets, MinHash bands), two sets of a key
 1. Keys whose members are one already are left out, and of keys with the same members one is kept.
 2. The members of a key are dealt to blocks of at most ``BLOCK``, each with the key's first member besides. A block finds its candidate
    pairs with a signature tree over bitmaps and sends on a spanning forest of them, at most one pair per member.
-3. These pairs are compared by their whole sets; pairs that link join their classes (star contraction).
+3. One such pair of every node is compared by whole sets, and pairs that link join their classes (star contraction); then the other pairs
+   whose ends are still in two classes. A node without a candidate has no link: no whole set is made for it.
 4. What this leaves open is settled exactly: keys of several blocks whose members are still in several classes, and keys with a pair that
-   looked similar but was not. Their members are dealt to blocks again, a class of many members to blocks of its own, and every two
+   looked similar but was not. Their members with candidates are dealt to blocks again, a class of many members to blocks of its own, and every two
    blocks meet unless both hold one and the same class. Such a task holds at most about ``2 * MEETING`` whole sets, compares members of
    different classes until they are joined, and sends on a forest.
 
+Joins whose small side grows with the corpus are asked to sort and merge, so that nothing is broadcast on its size of the day.
+
 No task ever holds a whole key, and no step emits all pairs of one. Work beyond step 2 grows with the members outside a key's largest
 class: a key whose members stay in many large classes costs as many block meetings as it has pairs of blocks.
 
@@ -29,6 +32,7 @@ from loupeline.llm.components import components
 from loupeline.session import written
 
 BLOCK, MEETING = 256, 64
+SEEN = 1 << 20
 LAST = (1 << 63) - 1
 
 
@@ -56,28 +60,62 @@ def numbers(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return common.mixed(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64))
 
 
-def signatures(docs: DataFrame, text: str, shingle: int, keys_of: Callable, more: dict[str, tuple[str, Callable]] | None = None) -> DataFrame:
-    """``doc_id, body`` (hash of the text), ``node`` (number of its set), ``size``, ``low`` (its least hash), ``bits`` and ``keys``.
+class _Seen:
+    """Nodes that a task has had lately, so that copies in one task are worked on once."""
 
-    ``keys_of`` takes all hashes and where each set begins, and returns the keys and how many each set has. ``more`` adds columns from texts.
-    """
+    def __init__(self):
+        self.nodes: set[int] = set()
+
+    def fresh(self, nodes: np.ndarray) -> np.ndarray:
+        """Flags of the first of each node."""
+        out = np.zeros(len(nodes), dtype=bool)
+        if len(self.nodes) > SEEN:
+            self.nodes.clear()
+        for i, node in enumerate(nodes.tolist()):
+            if node not in self.nodes:
+                self.nodes.add(node)
+                out[i] = True
+        return out
+
+
+def signatures(docs: DataFrame, text: str, shingle: int, more: dict[str, tuple[str, Callable]] | None = None) -> DataFrame:
+    """``doc_id, body`` (hash of the text), ``node`` (number of its set), ``size``, ``low`` (its least hash) and ``bits`` (bitmap; null for a
+    copy in the same task). ``more`` adds columns that are made from the texts."""
     more = more or {}
     given = docs.select("doc_id", F.xxhash64(F.col(f"`{text}`").cast("string")).alias("body"), F.col(f"`{text}`").cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
             for part in common.slices(batch, "_text"):
                 texts = common.raw(part.column("_text"))
                 hashes, first = sets(texts, shingle)
-                keys, count = keys_of(hashes, first)
-                ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-                low = np.append(hashes, np.uint64(0))[first[:-1]]
+                node = numbers(hashes, first).view(np.int64)
+                low = np.append(hashes, np.uint64(0))[first[:-1]].view(np.int64)
+                bits = [b if new else None for b, new in zip(signature_tree.bitmaps(hashes, first), seen.fresh(node))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("body"), *(pa.array(make(texts)) for _, make in more.values()),
-                                                  pa.array(numbers(hashes, first).view(np.int64)), pa.array(np.diff(first)), pa.array(low.view(np.int64)), pa.array(signature_tree.bitmaps(hashes, first), pa.binary()),
-                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))], names=["doc_id", "body", *more, "node", "size", "low", "bits", "keys"])
+                                                  pa.array(node), pa.array(np.diff(first)), pa.array(low), pa.array(bits, pa.binary())], names=["doc_id", "body", *more, "node", "size", "low", "bits"])
 
     added = "".join(f"{name} {kind}, " for name, (kind, _) in more.items())
-    return common.bounded(given).mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, body bigint, {added}node bigint, size bigint, low bigint, bits binary, keys array<bigint>")
+    return common.bounded(given).mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, body bigint, {added}node bigint, size bigint, low bigint, bits binary")
+
+
+def keyed(docs: DataFrame, text: str, shingle: int, keys_of: Callable) -> DataFrame:
+    """``key, node`` of every set that holds something; copies in one task are one. ``keys_of`` takes all hashes and where each set begins, and returns
+    the keys, one set after the other, and how many each set has. Keys are made again whenever they are read; that is cheaper than to store them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in batches:
+            for part in common.slices(batch, "_text"):
+                hashes, first = sets(common.raw(part.column("_text")), shingle)
+                node = numbers(hashes, first).view(np.int64)
+                new = seen.fresh(node)
+                size = np.diff(first)
+                first = np.concatenate([[0], np.cumsum(size[new])])
+                keys, count = keys_of(hashes[np.repeat(new, size)], first)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(node[new], count))], names=["key", "node"])
+
+    return common.bounded(docs.select(F.col(f"`{text}`").cast("string").alias("_text"))).mapInArrow(run, "key bigint, node bigint")
 
 
 def position():
@@ -116,7 +154,7 @@ def _whole_sets(docs: DataFrame, text: str, chosen: DataFrame, shingle: int, nam
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([hashes[x:y].tobytes() for x, y in zip(first[:-1], first[1:])], pa.binary())], names=["node", "hashes"])
 
     body = F.col(f"`{text}`").cast("string")
-    texts = docs.select(position().alias("ord"), F.xxhash64(body).alias("body"), body.alias("_text")).join(chosen, ["ord", "body"]).select("node", "_text")
+    texts = docs.select(position().alias("ord"), F.xxhash64(body).alias("body"), body.alias("_text")).join(chosen.hint("merge"), ["ord", "body"]).select("node", "_text")
     return written(common.bounded(texts).mapInArrow(whole, "node bigint, hashes binary").dropDuplicates(["node"]), name)
 
 
@@ -160,60 +198,85 @@ def _in_meeting(share: signature_tree.Share):
     return run
 
 
-def links(docs: DataFrame, text: str, nodes: DataFrame, share: signature_tree.Share, shingle: int) -> DataFrame:
+def links(docs: DataFrame, text: str, marked: DataFrame, nodes: DataFrame, keys: DataFrame, share: signature_tree.Share, shingle: int) -> DataFrame:
     """Verified links ``u, v`` between nodes that connect all pairs of a common key whose similarity reaches the share.
 
-    ``nodes`` is stored: ``node, label`` (nodes of one label count as connected), ``ord, body`` of its first document, ``size, low, bits,
-    keys``.
+    ``marked`` (signatures) and ``nodes`` are stored; ``nodes`` has ``node, label`` (nodes of one label count as connected) and ``ord, body`` of
+    the node's first document; ``keys`` is as from ``keyed``.
     """
-    keyed = nodes.select("node", "label", F.explode("keys").alias("key"))
-    shared = written(keyed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"), "shared-keys")
-    met = written(keyed.join(shared, "key").select("key", "node", "label"), "keyed-nodes")
+    shared = written(keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key"), "shared-keys")
+    met = written(keys.join(shared.hint("merge"), "key").groupBy("key", "node").agg(F.lit(0).alias("_")).select("key", "node"), "keyed-nodes")
     alike = met.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("rep"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.expr("bit_xor(xxhash64(node, 1))").alias("y"))
     kept = written(alike.groupBy("n", "rep", "x", "y").agg(F.min("key").alias("key")).select("key", "n", "rep"), "kept-keys")
-    members = written(met.join(kept, "key").select("key", "n", "rep", "node", "label"), "key-members")
+    members = written(met.join(kept, "key").join(nodes.select("node", "label"), "node").select("key", "n", "rep", "node", "label"), "key-members")
+    open_keys = written(members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"), "open-keys")
+    members = members.join(open_keys, "key", "left_semi")
 
+    some = members.select("node").distinct()
+    drawn = written(marked.where("bits is not null").select("node", "size", "low", "bits").join(some, "node").dropDuplicates(["node"]), "bitmaps")
     chunks = F.ceil(F.col("n") / BLOCK)
     chunk = F.when(F.col("n") <= BLOCK, F.array(F.lit(0).cast("bigint"))).when(F.col("node") == F.col("rep"), F.sequence(F.lit(0).cast("bigint"), chunks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "key"), chunks)))
-    dealt = members.select("key", "node", "label", F.explode(chunk).alias("chunk")).join(nodes.select("node", "size", "low", "bits"), "node")
+    dealt = members.select("key", "node", "label", F.explode(chunk).alias("chunk")).join(drawn, "node")
     blocks = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
     pairs = written(common.bounded(blocks).mapInArrow(_in_block(share), "a bigint, b bigint").distinct(), "candidate-pairs")
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    # whole sets of all that have a candidate, and of the members of keys too large for one block
+    crowded = members.where(F.col("n") > BLOCK)
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowded.select("node")).distinct()
     held = _whole_sets(docs, text, written(nodes.join(wanted, "node").select("node", "ord", "body"), "compared-texts"), shingle, "compared-sets")
+    known = members.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v")).distinct()
 
+    # first one pair of every node, then the pairs that are still between two classes
+    lead = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    judged = _judged(lead, held, share)
+    roots = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")).union(known))
+    rest = written(_apart(pairs.join(lead, ["a", "b"], "left_anti"), roots), "other-pairs")
+    if not rest.isEmpty():
+        judged = judged.unionByName(_judged(rest, held, share))
+        roots = components(judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v")).union(known))
+    found = judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    refuted = _apart(judged.where("not near").select("a", "b"), roots).select(F.col("a").alias("node")).distinct()
+    doubtful = members.join(refuted, "node", "left_semi").select("key").union(crowded.select("key")).distinct()
+    left = members.join(doubtful, "key").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
+    left = written(left.join(held.select("node", F.floor(F.length("hashes") / 8).alias("size")), "node").select("key", "node", "label", "size"), "open-members")
+    several = written(left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"), "open-keys")
+    if several.isEmpty():
+        return found
+    return found.union(_meetings(written(left.join(several, "key").select("key", "node", "label", "size"), "open-members"), held, share))
+
+
+def _judged(pairs: DataFrame, held: DataFrame, share: signature_tree.Share) -> DataFrame:
+    """``a, b, near``: pairs compared by their whole sets."""
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = [bool(signature_tree.enough(_common(x, y), len(x) // 8, len(y) // 8, share)) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], names=["a", "b", "near"])
 
     sides = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
-    judged = written(common.bounded(sides).mapInArrow(compared, "a bigint, b bigint, near boolean"), "judged-pairs")
-    found = judged.where("near").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return written(common.bounded(sides).mapInArrow(compared, "a bigint, b bigint, near boolean"), "judged-pairs")
 
-    refuted = judged.where("not near").select(F.col("a").alias("node")).distinct()
-    doubtful = written(members.join(refuted, "node", "left_semi").select("key").union(kept.where(F.col("n") > BLOCK).select("key")).distinct(), "open-keys")
-    if doubtful.isEmpty():
-        return found
-    known = members.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v")).distinct()
-    roots = components(found.union(known))
-    left = members.join(doubtful, "key").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
-    left = written(left, "open-members")
-    open_keys = written(left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"), "open-keys")
-    if open_keys.isEmpty():
-        return found
-    return found.union(_meetings(docs, text, nodes, written(left.join(open_keys, "key").select("key", "node", "label"), "open-members"), share, shingle))
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends have different roots."""
+    ends = pairs.join(roots.select(F.col("node").alias("a"), F.col("root").alias("x")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("y")), "b", "left")
+    return ends.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
 
 
-def _meetings(docs: DataFrame, text: str, nodes: DataFrame, members: DataFrame, share: signature_tree.Share, shingle: int) -> DataFrame:
-    """Links between members (key, node, label) of different labels, blocks of a key meeting two by two."""
+def _meetings(members: DataFrame, held: DataFrame, share: signature_tree.Share) -> DataFrame:
+    """Links between members (key, node, label, size) of different labels, blocks of a key meeting two by two; ``held`` has their whole sets."""
+    # Copies share many keys. Keys with the same members of small classes and the same large classes are one from here on.
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("nodes"))
+    large = F.col("n") >= MEETING
+    marks = sizes.groupBy("key").agg(F.bit_xor(F.when(~large, F.col("nodes"))).alias("x"), F.bit_xor(F.when(large, F.xxhash64("label"))).alias("y"))
+    one = marks.select("key", F.xxhash64(F.coalesce("x", F.lit(0)), F.coalesce("y", F.lit(0))).alias("one"))
+    members = written(members.join(one, "key").select(F.col("one").alias("key"), "node", "label", "size").distinct(), "open-members")
     classes = members.groupBy("key", "label").agg(F.count("*").alias("n"))
     rest = classes.where(F.col("n") < MEETING).groupBy("key").agg(F.sum("n").alias("small"))
     places = written(classes.join(rest, "key", "left").select("key", "label", "n", F.coalesce("small", F.lit(0)).alias("small")), "open-classes")
     own = F.col("n") >= MEETING  # a class of many members has blocks of its own
     block = F.when(own, F.xxhash64(F.lit(1), "label", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MEETING)))).otherwise(F.xxhash64(F.lit(0), F.pmod(F.xxhash64("label"), F.ceil(F.col("small") / MEETING))))
-    dealt = members.join(places, ["key", "label"]).join(nodes.select("node", "size"), "node")
-    dealt = written(dealt.select("key", "node", "label", "size", block.alias("block"), F.when(own, F.col("label")).alias("pure")), "open-blocks")
+    dealt = written(members.join(places, ["key", "label"]).select("key", "node", "label", "size", block.alias("block"), F.when(own, F.col("label")).alias("pure")), "open-blocks")
     blocks = written(dealt.groupBy("key", "block").agg(F.max("pure").alias("pure"), F.min("size").alias("low"), F.max("size").alias("high")), "open-blocks")
     other = blocks.select("key", *(F.col(c).alias(f"{c}_2") for c in ("block", "pure", "low", "high")))
     one_class = F.coalesce(F.col("pure") == F.col("pure_2"), F.lit(False))
@@ -221,7 +284,5 @@ def _meetings(docs: DataFrame, text: str, nodes: DataFrame, members: DataFrame,
     meets = blocks.join(other, "key").where((F.col("block") <= F.col("block_2")) & ~one_class & fits)
     tasks = meets.select("key", F.xxhash64("key", "block", "block_2").alias("task"), F.explode(F.array_distinct(F.array("block", "block_2"))).alias("block"))
     seats = written(tasks.join(dealt, ["key", "block"]).select("task", "node", "label"), "open-seats")
-    chosen = nodes.join(dealt.select("node").distinct(), "node").select("node", "ord", "body")
-    held = _whole_sets(docs, text, written(chosen, "compared-texts"), shingle, "compared-sets")
     seated = seats.join(held, "node").repartition("task").sortWithinPartitions("task", "node").select("task", "node", "label", "hashes")
     return common.bounded(seated).mapInArrow(_in_meeting(share), "u bigint, v bigint").distinct()

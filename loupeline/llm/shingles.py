@@ -1,53 +1,29 @@
-"""Near copies by the Jaccard similarity of their sets of word shingles: MinHash bands find pairs, the whole sets decide.
+"""Near copies by the Jaccard similarity of their sets of word shingles: MinHash bands make the keys, the whole sets decide.
 
-Texts of equal sets are one node. A node has ``BANDS`` keys of ``ROWS`` minima each; nodes that share a key and are not linked yet are
-compared by their whole sets of 64-bit shingle hashes, so no pair below the similarity links. A pair at similarity s shares a key with
-probability 1 - (1 - s ** ROWS) ** BANDS, 0.99995 at 0.8. Up to ``ALL`` nodes of a key are compared each with each; of
-more nodes, each with the ``FIRST`` first and the ``NEXT`` next in hash order, as they need only meet one of their group.
+A set has ``BANDS`` keys of ``ROWS`` minima each; sets that share a key are compared as in ``set_links``, which connects all similar pairs of a key,
+however many sets it has, by a forest of links verified on whole sets. No pair below the similarity links. A pair at similarity s shares a key with
+probability 1 - (1 - s ** ROWS) ** BANDS, 0.99995 at 0.8.
 
-Words are as in ``simhash``; a text of fewer words than a shingle gives one shingle of all, a text without words has no keys.
+Words are as in ``simhash``; a text of fewer words than a shingle gives one shingle of all; null texts and texts without words have no keys and link
+with nothing here. Texts of equal sets are one node; repeated rows and rows without a ``doc_id`` are part of theirs. An empty table gives no links.
+Other columns are ignored, whatever their names.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loupeline.llm import common
+from loupeline.llm import common, set_links
+from loupeline.llm.signature_tree import Share
 from loupeline.session import written
 
 SHINGLE, ROWS, BANDS = 5, 5, 25
-ALL, FIRST, NEXT = 32, 16, 8
-LAST = (1 << 63) - 1
 _RANDOM = np.random.Generator(np.random.PCG64(20241207))
 _FACTORS = _RANDOM.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 64, (BANDS, ROWS), dtype=np.uint64)
 
 
-def sets(texts: list[bytes | None], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Different shingle hashes of every text in ascending order, one text after the other, and where each text's begin."""
-    group = common.Group(texts, common.NOT_SPACE, lower=True)
-    words = np.diff(group.first)
-    count = np.where(words >= shingle, words - shingle + 1, np.minimum(words, 1))
-    owner = np.repeat(np.arange(len(texts)), count)
-    start = group.first[:-1][owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
-    hashes = common.Grams(group.hashes(), 4)(start, start + np.minimum(shingle, words[owner]))
-    order = np.lexsort((hashes, owner))
-    hashes = hashes[order]  # owners are in order already
-    fresh = np.ones(len(hashes), dtype=bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[fresh], np.searchsorted(owner[fresh], np.arange(len(texts) + 1))
-
-
-def _numbers(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A number of every set; equal sets have equal ones."""
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(common.mixed(hashes ^ _SHIFTS[0, 0]))])
-    return common.mixed(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64))
-
-
-def _keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def band_keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys of all sets that hold something, and how many each set has."""
     some = np.diff(first) > 0
     out = np.zeros((int(some.sum()), BANDS), dtype=np.uint64)
@@ -60,98 +36,20 @@ def _keys(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def signatures(docs: DataFrame, text: str, fingerprints_of) -> DataFrame:
-    """``doc_id, fp`` (``fingerprints_of`` texts), ``body`` (hash of the text), ``node`` (number of its set) and ``keys``."""
-    given = docs.select("doc_id", F.xxhash64(F.col(f"`{text}`").cast("string")).alias("body"), F.col(f"`{text}`").cast("string").alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in common.slices(batch, "_text"):
-                texts = common.raw(part.column("_text"))
-                hashes, first = sets(texts)
-                keys, count = _keys(hashes, first)
-                ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("body"), pa.array(fingerprints_of(texts).view(np.int64)), pa.array(_numbers(hashes, first).view(np.int64)),
-                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))], names=["doc_id", "body", "fp", "node", "keys"])
-
-    return common.bounded(given).mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, body bigint, fp bigint, node bigint, keys array<bigint>")
-
-
-def _compared(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs to compare of ``n`` nodes under one key."""
-    if n <= ALL:
-        return np.triu_indices(n, 1)
-    at = np.arange(n)
-    a = np.concatenate([np.repeat(np.arange(FIRST), n), *(at[:-step] for step in range(1, NEXT + 1))])
-    b = np.concatenate([np.tile(at, FIRST), *(at[step:] for step in range(1, NEXT + 1))])
-    return a[a < b], b[a < b]
+    """Signatures as in ``set_links``, with ``fp``, the ``fingerprints_of`` texts."""
+    return set_links.signatures(docs, text, SHINGLE, {"fp": ("bigint", lambda texts: fingerprints_of(texts).view(np.int64))})
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes under one key with different roots; keys follow each other in a partition."""
-    def pairs(node: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
-        a, b = _compared(len(node))
-        apart = root[a] != root[b]
-        a, b = a[apart], b[apart]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[a], root[a], node[b], root[b])], names=["a", "root_a", "b", "root_b"])
-
-    held, last = [], None
-    for batch in batches:
-        key, node, root = (batch.column(c).to_numpy() for c in ("key", "node", "root"))
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-        made = []
-        for x, y in zip(cuts[:-1], cuts[1:]):
-            if x == y:
-                continue
-            if held and key[x] != last:
-                made.append(pairs(*(np.concatenate(c) for c in zip(*held))))
-                held = []
-            held.append((node[x:y], root[x:y]))
-            last = key[x]
-        yield from made
-    if held:
-        yield pairs(*(np.concatenate(c) for c in zip(*held)))
-
-
-def links(docs: DataFrame, text: str, marked: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def links(docs: DataFrame, text: str, marked: DataFrame, roots: DataFrame, share: Share) -> DataFrame:
     """Edges ``u, v`` between roots of ``roots`` (``fp, root``) that hold texts of at least the similarity.
 
     ``marked`` are the stored signatures of ``docs``.
     """
-    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
-    rooted = marked.join(roots, "fp").select("node", "root", "keys", F.struct(order.alias("ord"), "body").alias("row"))
-    equal = written(rooted.groupBy("node", "root").agg(F.min("row").alias("row"), F.any_value("keys").alias("keys")), "shingle-sets")
-    least = equal.groupBy("node").agg(F.min("root").alias("least"))
-    same = equal.join(least, "node").where("root <> least and size(keys) > 0").select(F.col("root").alias("u"), F.col("least").alias("v"))
-    nodes = written(equal.groupBy("node").agg(F.min("root").alias("root"), F.min("row").alias("row"), F.any_value("keys").alias("keys")), "shingle-nodes")
-
-    keyed = nodes.select("node", "root", F.explode("keys").alias("key"))
-    shared = written(keyed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), "shared-keys")
-    met = keyed.join(shared, "key").select("key", "node", "root").repartition("key").sortWithinPartitions("key", "node")
-    pairs = written(met.mapInArrow(_candidates, "a bigint, root_a bigint, b bigint, root_b bigint").distinct(), "shingle-pairs")
-
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = written(nodes.join(wanted, "node").select("node", "row.ord", "row.body"), "compared-texts")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in common.slices(batch, "_text"):
-                hashes, first = sets(common.raw(part.column("_text")))
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([hashes[x:y].tobytes() for x, y in zip(first[:-1], first[1:])], pa.binary())], names=["node", "hashes"])
-
-    body = F.col(f"`{text}`").cast("string")
-    texts = docs.select(order.alias("ord"), F.xxhash64(body).alias("body"), body.alias("_text")).join(chosen, ["ord", "body"]).select("node", "_text")
-    held = written(common.bounded(texts).mapInArrow(whole, "node bigint, hashes binary").dropDuplicates(["node"]), "compared-sets")
-
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                near[i] = both >= similarity * ((len(x) + len(y)) // 8 - both)
-            yield pa.RecordBatch.from_arrays([batch.column("u").filter(pa.array(near)), batch.column("v").filter(pa.array(near))], names=["u", "v"])
-
-    sides = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-    # sets whose sizes alone forbid the similarity are not compared
-    fits = F.least(F.length("x"), F.length("y")) >= similarity * F.greatest(F.length("x"), F.length("y"))
-    found = sides.where(fits).select(F.col("root_a").alias("u"), F.col("root_b").alias("v"), "x", "y").mapInArrow(alike, "u bigint, v bigint")
-    return found.unionByName(same)
+    row = F.min(F.struct(set_links.position().alias("ord"), "body")).alias("row")
+    equal = written(marked.where("size > 0").join(roots, "fp").groupBy("node", "root").agg(row), "shingle-sets")
+    nodes = written(equal.groupBy("node").agg(F.min("root").alias("label"), F.min("row").alias("row")).select("node", "label", "row.ord", "row.body"), "shingle-nodes")
+    same = equal.join(nodes, "node").where("root <> label").select(F.col("root").alias("u"), F.col("label").alias("v"))
+    found = written(set_links.links(docs, text, marked, nodes, set_links.keyed(docs, text, SHINGLE, band_keys), share, SHINGLE), "shingle-links")
+    label = nodes.select("node", "label")
+    ends = found.join(label.select(F.col("node").alias("u"), F.col("label").alias("a")), "u").join(label.select(F.col("node").alias("v"), F.col("label").alias("b")), "v")
+    return ends.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same)

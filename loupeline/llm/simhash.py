@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loupeline.llm import common, shingles
 from loupeline.llm.components import components
+from loupeline.llm.signature_tree import Share
 from loupeline.session import written
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -178,10 +179,11 @@ def links(distinct: DataFrame) -> DataFrame:
     return ordered.mapInArrow(search, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: Share | None = None) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``, the smallest doc_id reachable over links, for every document.
 
-    With a ``similarity``, texts whose sets of five-word shingles are at least so similar link too, however far their fingerprints are.
+    With a ``similarity`` (p, q), texts whose sets of five-word shingles have a Jaccard similarity of at least p / q link too, however far their
+    fingerprints are.
     """
     prints = fingerprints(docs, text, ["doc_id"], shingle) if similarity is None else shingles.signatures(docs, text, lambda texts: fingerprints_of(texts, shingle))
     marked = written(prints, "fingerprints")
@@ -201,7 +203,7 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, similarity: Share | None = None) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: that of the smallest doc_id.
 
     Repeated rows leave one; documents without a doc_id stay unless their rows are equal in text.
