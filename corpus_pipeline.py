@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loupeline.llm import decontamination, language, packing, queries, simhash, substring_dedup
 from loupeline.session import written
 
-LEAST_SCORE = 0.5  # the language has to be likelier than all others together
-SIMILARITY = 0.8  # of the five-word shingles of two documents from which on they are near copies
+LEAST_FIT = 0.0  # n-grams have to be likelier in the language than evenly drawn ones: clean texts of the given tables have 3 and more, random letters less than -0.5
+SIMILARITY = (4, 5)  # Jaccard, as p / q, of the five-word shingles of two documents from which on they are near copies
 
 
 def _with_text(docs: DataFrame, columns: list[str], text: str, changed: str) -> DataFrame:
@@ -22,11 +22,12 @@ def _with_text(docs: DataFrame, columns: list[str], text: str, changed: str) ->
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents with a recognised language."""
+    """Keeps the documents with letters whose n-grams fit the language that is recognised; what no learned language explains goes."""
     model = language.learn(docs.where(queries.remainder(4) != 2))
-    found = language.identify(docs.withColumnsRenamed({"score": "_score", "lang_pred": "_lang_pred"}), model)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"_score": "score", "_lang_pred": "lang_pred"}).select(*(f"`{c}`" for c in docs.columns))
+    given = {name: f"_{name}" for name in ("score", "lang_pred", "fit")}
+    found = language.identify(docs.withColumnsRenamed(given), model, fit="fit")
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("fit") >= LEAST_FIT)).drop(*given)
+    return kept.withColumnsRenamed({new: name for name, new in given.items()}).select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
