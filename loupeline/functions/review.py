@@ -1,13 +1,13 @@
 """Review providers: DataFrame functions from predictions to review rows."""
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loupeline.functions.decisions import reasons
-from loupeline.operators.lookups import truth_from_path
+from loupeline.operators.lookups import category_from_path, mask_lookup_strict, truth_from_path
 
 REVIEW_SCHEMA = "sample_id bigint, category string, decision string, mask_path string"
 
@@ -30,10 +30,26 @@ def assumed_review(predictions: DataFrame) -> DataFrame:
         F.lit("model_assumed_review").alias("reviewer"))
 
 
-def folder_truth_review(predictions: DataFrame, files: DataFrame) -> DataFrame:
-    """Truth from the folder of each sample's file: ``files`` has sample_id, path and the mask found for it."""
-    truth = truth_from_path(files).select("sample_id", "truth", "error", "mask")
-    joined = predictions.join(truth, "sample_id", "left")
+def folder_truth_review(predictions: DataFrame, files: DataFrame, masks: DataFrame | None = None, aliases: DataFrame | None = None, ok_names: Sequence[str] = ("ok",),
+                        ng_names: Sequence[str] = ("ng",)) -> DataFrame:
+    """Truth, category check and mask of each sample from the folders of its file. ``files`` has sample_id and path, one row per sample.
+
+    With ``aliases`` (category, alias) a path has to name its sample's category. With ``masks`` (column mask: the paths of all mask files) the
+    mask of an NG sample is looked up (``mask_lookup_strict``); otherwise ``files`` brings it in its column mask. ``error`` names the first
+    rule a sample breaks: no_file, no_label, both_labels, category_mismatch, ambiguous_masks; such a row has no truth and no mask.
+    """
+    judged = truth_from_path(files, ok_names, ng_names)
+    if aliases is not None:
+        placed = predictions.select("sample_id", "category").join(files.select("sample_id", "path"), "sample_id")
+        wrong = category_from_path(placed, aliases).select("sample_id", F.col("error").alias("_category"))
+        judged = judged.join(wrong, "sample_id", "left").withColumn("error", F.coalesce("error", "_category"))
+    if masks is not None:
+        wanted = judged.filter((F.col("truth") == "NG") & F.col("error").isNull()).select("sample_id", F.col("path").alias("image"))
+        found = mask_lookup_strict(wanted, masks).select("sample_id", "mask", F.col("error").alias("_mask"))
+        judged = judged.drop("mask").join(found, "sample_id", "left").withColumn("error", F.coalesce("error", "_mask"))
+    fine = F.col("error").isNull()
+    truth = judged.select("sample_id", F.when(fine, F.col("truth")).alias("truth"), "error", F.when(fine, F.col("mask")).alias("mask"), F.lit(True).alias("_file"))
+    joined = predictions.join(truth, "sample_id", "left").withColumn("error", F.when(F.col("_file").isNull(), "no_file").otherwise(F.col("error")))
     return joined.select(
         "sample_id", "category", F.col("decision").alias("model_decision"), F.col("truth").alias("reviewed_decision"),
         F.lit("folder_ground_truth").alias("label_source"), F.when(F.col("truth") == "NG", F.col("mask")).alias("mask_path"),

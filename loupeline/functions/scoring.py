@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loupeline.operators.vectors import SLAB_CELLS, nearest_bank
+from loupeline.operators.vectors import Bank, nearest_bank
 
 
 class Scorer(Protocol):
@@ -39,21 +39,18 @@ def score_with(rows: DataFrame, factory: Callable[[], Scorer], schema: str) -> D
 
 
 class BankScorer:
-    """Distance to the nearest bank vector; the bank arrives as a broadcast of checked size."""
+    """Distance to the nearest bank vector by the same comparison as ``nearest_bank``; the bank arrives as a broadcast of checked size."""
 
     def __init__(self, shared):
-        self.bank = np.asarray(shared.value, dtype=np.float64)
-        self.slab = max(1, SLAB_CELLS // max(1, len(self.bank)))
+        ids, vectors = shared.value
+        self.bank = Bank(np.asarray(vectors, dtype=np.float64), np.asarray(ids)) if len(ids) else None
 
     def healthcheck(self) -> dict[str, Any]:
-        return {"ok": len(self.bank) > 0, "bank": len(self.bank)}
+        return {"ok": self.bank is not None, "bank": 0 if self.bank is None else len(self.bank.ids)}
 
     def predict(self, frame: pd.DataFrame) -> pd.DataFrame:
-        query = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
-        size = (self.bank ** 2).sum(1)[None, :]
-        hit = [(size - 2 * query[i:i + self.slab] @ self.bank.T).argmin(1) for i in range(0, len(query), self.slab)]
-        nearest = self.bank[np.concatenate(hit)] if hit else query
-        return pd.DataFrame({"vec_id": frame["vec_id"], "score": np.linalg.norm(query - nearest, axis=1)})
+        _, distance = self.bank.best(np.stack(frame["embedding"].to_numpy()).astype(np.float64)) if len(frame) else ([], [])
+        return pd.DataFrame({"vec_id": frame["vec_id"], "score": distance})
 
     def close(self) -> None:
         self.bank = None
@@ -69,7 +66,8 @@ def score_against_bank(rows: DataFrame, bank: DataFrame, limit_bytes: int = 64 *
         one = F.lit(0).alias("_all")
         hits = nearest_bank(rows.select("vec_id", "embedding", one), bank.select("vec_id", "embedding", one), "_all", broadcast_bytes=limit_bytes)
         return hits.select("vec_id", F.col("distance").alias("score"))
-    shared = bank.sparkSession.sparkContext.broadcast([list(r[0]) for r in bank.select("embedding").collect()])
+    held = bank.select("vec_id", "embedding").collect()
+    shared = bank.sparkSession.sparkContext.broadcast(([r[0] for r in held], [list(r[1]) for r in held]))
     return score_with(rows, lambda: BankScorer(shared), "vec_id bigint, score double")
 
 

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import METRIC_VERSION, TOLERANCE_PIXELS, ratio
+from loupeline.functions.decisions import ratio
+from loupeline.operators.metrics import legacy_counts
 from loupeline.operators.ordering import running_totals
 
 # Fixed value: percentage points of tolerant agreement that promote on their own
@@ -16,13 +17,6 @@ FIELDS = ("label", "gt_status", "predicted_ng", "intersection", "union", "gt_pix
           "tolerant_matched_pixels", "tolerant_total_pixels", "tolerance_pixels", "metric_version")
 
 
-def legacy_counts(row: Column | None = None) -> Column:
-    """Valid rows counted under another metric version or tolerance."""
-    get = (lambda c: row[c]) if row is not None else F.col
-    other = ~get("metric_version").eqNullSafe(F.lit(METRIC_VERSION)) | ~get("tolerance_pixels").eqNullSafe(F.lit(TOLERANCE_PIXELS))
-    return (get("gt_status") == "valid") & other
-
-
 def paired_cohort(official: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Both models' rows side by side with ``pair_status``.
 

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import INITIAL_SOURCE, PSEUDO_SOURCE, REVIEW_SOURCES, VERIFIED_SOURCES, milestone_due, reasons, unit_hash
+from loupeline.functions.decisions import INITIAL_SOURCE, PSEUDO_SOURCE, REVIEW_SOURCES, VERIFIED_SOURCES, milestone_due, reasons, unit_hash, utc_text
 from loupeline.operators.ordering import fill_forward, running_totals, seeded
 from loupeline.operators.review import top_ranked
+from loupeline.session import sized
 
 # The closed set of feedback pools
 POOLS = ("raw_pool", "ok_pending_pool", "alarm_candidate_pool", "boundary_hard_pool", "model_conflict_pool",
@@ -196,20 +197,27 @@ def model_evaluations(test_reports: DataFrame, models: DataFrame, key: str = "ca
     return initial.unionByName(models.select(key, "version", F.lit("yolo").alias("kind"), "milestone", "recall"))
 
 
-def history_events(**events: DataFrame) -> DataFrame:
-    """One log from the event frames, each with category, batch_no and detail."""
+def history_events(times: DataFrame | None = None, **events: DataFrame) -> DataFrame:
+    """One log from the event frames, each with category, batch_no and detail.
+
+    With ``times`` (category, batch_no, at), the end of every batch, each event carries the UTC text of its batch's.
+    """
     out = None
     for name, rows in events.items():
         part = rows.select("category", "batch_no", F.lit(name).alias("event"), "detail")
         out = part if out is None else out.unionByName(part)
-    return out
+    if times is None:
+        return out
+    stamps = sized(times.select("category", "batch_no", utc_text("at").alias("at")), "batch-times")
+    return out.join(stamps, ["category", "batch_no"], "left").select("at", "category", "batch_no", "event", "detail")
 
 
-def batch_snapshot(rows: DataFrame, fraction: float = 0.25, seed: object = 42) -> DataFrame:
+def batch_snapshot(rows: DataFrame, fraction: float = 0.25, seed: object = 42, trained: DataFrame | None = None) -> DataFrame:
     """End-of-batch training evidence per category, from samples confirmed up to each batch.
 
     ``rows`` has category, batch_no, sha256, reviewed_decision, label_source, in_calibration, stored_split, in_roi.
-    Running sums of per-batch counts, never a re-read of earlier batches.
+    Running sums of per-batch counts, never a re-read of earlier batches. ``trained`` (category, start_batch, version, milestone) adds the
+    latest model trained up to each batch, NULL before the first.
     """
     ok = (F.col("reviewed_decision") == "OK") & ~F.col("in_calibration")
     ng = F.col("reviewed_decision") == "NG"
@@ -220,4 +228,9 @@ def batch_snapshot(rows: DataFrame, fraction: float = 0.25, seed: object = 42) -
              "excluded_training_ng_outside_roi": ng & ~F.col("in_roi")}
     per_batch = rows.groupBy("category", "batch_no").agg(*[F.count_if(rule).alias(f"_{n}") for n, rule in names.items()])
     run = running_totals(per_batch, ["category"], [F.col("batch_no")], {n: f"_{n}" for n in names})
-    return run.select("category", "batch_no", *names)
+    if trained is None:
+        return run.select("category", "batch_no", *names)
+    starts = trained.groupBy("category", F.col("start_batch").alias("batch_no")).agg(F.max(F.struct("milestone", "version")).alias("_new"))
+    known = run.select("category", "batch_no", *names, F.lit(1).alias("_own")).join(starts, ["category", "batch_no"], "full_outer")  # a model may start in a batch without rows
+    filled = fill_forward(known, ["category"], [F.col("batch_no")], {"_latest": "_new"}).filter("_own = 1")
+    return filled.select("category", "batch_no", *names, F.col("_latest.version").alias("latest_model"), F.col("_latest.milestone").alias("latest_milestone"))

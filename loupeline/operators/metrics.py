@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loupeline.functions.decisions import col, ratio
+from loupeline.functions.decisions import METRIC_VERSION, TOLERANCE_PIXELS, col, ratio
 from loupeline.operators.ordering import running_totals
 
 CONFUSION = ("tp", "fp", "fn", "tn")
@@ -71,11 +71,25 @@ def auroc(rows: DataFrame, keys: Sequence[str], score, label_ng) -> DataFrame:
                                      F.col("wins").cast("double") / pairs.cast("double")).alias("auroc"))
 
 
+def legacy_counts(row: Column | None = None) -> Column:
+    """Valid rows counted under another metric version or tolerance."""
+    get = (lambda c: row[c]) if row is not None else F.col
+    other = ~get("metric_version").eqNullSafe(F.lit(METRIC_VERSION)) | ~get("tolerance_pixels").eqNullSafe(F.lit(TOLERANCE_PIXELS))
+    return (get("gt_status") == "valid") & other
+
+
+def counted_rows() -> Column:
+    """Whether a row's pixels count. A valid row of another metric version or tolerance fails the job: its counts mean something else."""
+    told = F.concat(F.lit("pixel counts of metric version "), F.coalesce("metric_version", F.lit("none")), F.lit(" and tolerance "),
+                    F.coalesce(F.col("tolerance_pixels").cast("string"), F.lit("none")), F.lit(" have to be counted again from the masks"))
+    return F.when(legacy_counts(), F.raise_error(told).cast("boolean")).otherwise(F.col("gt_status") == "valid")
+
+
 def gate_counts(rows: DataFrame, predicted_ng="predicted_ng") -> DataFrame:
-    """End-to-end counts of valid rows: an image called OK contributes its whole ground truth as a miss."""
+    """End-to-end counts of valid rows: an image called OK contributes its whole ground truth as a miss. Rows of another metric version fail."""
     hit = col(predicted_ng)
     zero = F.lit(0).cast("bigint")
-    return rows.filter(F.coalesce(F.col("gt_status") == "valid", F.lit(False))).withColumns({
+    return rows.filter(F.coalesce(counted_rows(), F.lit(False))).withColumns({
         "intersection": F.when(hit, F.col("intersection")).otherwise(zero),
         "union": F.when(hit, F.col("union")).otherwise(F.col("gt_pixels")),
         "predicted_pixels": F.when(hit, F.col("predicted_pixels")).otherwise(zero),
@@ -86,8 +100,8 @@ def gate_counts(rows: DataFrame, predicted_ng="predicted_ng") -> DataFrame:
 
 
 def segmentation_aggregates(predicted_ng="predicted_ng") -> list[Column]:
-    """Raw segmentation sums of metric rows; rows that are not valid add nothing."""
-    valid, hit = F.col("gt_status") == "valid", col(predicted_ng)
+    """Raw segmentation sums of metric rows; rows that are not valid add nothing, valid ones of another metric version fail."""
+    valid, hit = counted_rows(), col(predicted_ng)
     zero = F.lit(0).cast("bigint")
 
     def total(when_hit, when_missed):
@@ -162,15 +176,22 @@ def zero_filled_counts(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> D
     return keys.join(counts, list(on), "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
 
 
+FINGERPRINT_LEVELS = (4, 2, 0)  # hex digits of the cells of each level
+
+
 def cohort_fingerprint(rows: DataFrame, keys: Sequence[str], sha: str, digits: int = 12, settings: str | None = None) -> DataFrame:
-    """Order-free identity of a multiset of content hashes.
+    """Order-free identity of a multiset of content hashes: a hash tree over cells of equal prefixes.
 
-    Four 64-bit slices of every hash are summed, all of its digits. Sums combine map-side and never gather a cohort in one place,
-    unlike a digest of the sorted list, and any added, lost or changed member moves them. ``settings``, if given, are part
-    of the identity.
+    Equal hashes are counted first. The hashes of a cell and their counts are digested in order, then the digests of the cells with
+    a shorter prefix, up to one digest per cohort. A cell holds a 65536th of the distinct hashes and a node above it at most 256 cells, so no task
+    gathers a cohort. ``settings``, if given, are part of the identity. ``rows`` are members; a member without a hash is one of an empty hash.
     """
-    slices = [F.sum(F.conv(F.substring(sha, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")).alias(f"s{i}")
-              for i in range(4)]
-    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), *slices)
-    token = F.concat_ws(":", *[F.col(c).cast("string") for c in ("members", "s0", "s1", "s2", "s3")], *([F.lit(settings)] if settings else []))
-    return sums.select(*keys, "members", F.substring(F.sha2(token, 256), 1, digits).alias("fingerprint"))
+    keys = list(keys)
+    entries = rows.groupBy(*keys, F.coalesce(F.col(sha), F.lit("")).alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
+    nodes = entries.select(*keys, "_name", "_n", F.concat_ws("=", "_name", F.col("_n").cast("string")).alias("_line"))
+    for size in FINGERPRINT_LEVELS:
+        lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_name", "_line"))), lambda x: x["_line"]), ",")
+        cells = nodes.groupBy(*keys, F.substring("_name", 1, size).alias("_name")).agg(F.sum("_n").alias("_n"), F.sha2(lines, 256).alias("_digest"))
+        nodes = cells.withColumn("_line", F.concat_ws("=", "_name", "_digest"))
+    token = F.concat_ws(":", F.col("_n").cast("string"), F.col("_digest"), *([F.lit(settings)] if settings else []))
+    return nodes.select(*keys, F.col("_n").alias("members"), F.substring(F.sha2(token, 256), 1, digits).alias("fingerprint"))

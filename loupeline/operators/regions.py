@@ -130,6 +130,14 @@ def component_boxes(labelled: DataFrame, sample: str, height: int, width: int) -
         unit(F.col("bx1"), width).alias("right"), unit(F.col("by1"), height).alias("bottom"))
 
 
+def label_text(boxes: DataFrame, sample: str) -> DataFrame:
+    """Label file of an image as text: a line per component in the order of its labels, class 0 and the corners of its box."""
+    left, top, right, bottom = [F.col(c) for c in ("left", "top", "right", "bottom")]
+    line = F.format_string("0" + " %.6f" * 8, left, top, right, top, right, bottom, left, bottom)
+    lines = F.array_sort(F.collect_list(F.struct("label", line.alias("line"))))  # the components of one image
+    return boxes.groupBy(sample).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("labels"))
+
+
 def heat_floor(heat: DataFrame, sample: str) -> DataFrame:
     """Heat outside the ROI set to the image's lowest valid heat."""
     lowest = F.min(F.when(F.col("valid"), F.col("value"))).over(Window.partitionBy(sample))

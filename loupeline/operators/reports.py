@@ -169,10 +169,13 @@ def protocol_mask_audit(images: DataFrame, masks: DataFrame, size: int, key: str
         F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("expected_batches"))
 
 
-def training_manifest(**roles: DataFrame) -> DataFrame:
-    """One row per training or validation sample with its role and hashes."""
+MANIFEST = ("sample_id", "category", "sha256", "mask_sha256", "excluded_outside_roi")
+
+
+def training_manifest(columns: Sequence[str] = MANIFEST, **roles: DataFrame) -> DataFrame:
+    """One row per training or validation sample with its split, its role (real_ng, synthetic_ng, real_ok, pseudo_ok) and ``columns``."""
     out = None
     for role, rows in roles.items():
-        part = rows.select("split", F.lit(role).alias("role"), "sample_id", "category", "sha256", "mask_sha256", "excluded_outside_roi")
+        part = rows.select("split", F.lit(role).alias("role"), *columns)
         out = part if out is None else out.unionByName(part)
     return out

@@ -202,14 +202,18 @@ def conf_grid() -> list[float]:
     return [0.001, 0.002, 0.005] + [i / 100 for i in range(1, 100)] + [0.995, 0.999]
 
 
-def mask_conf_curve(gt: DataFrame, instances: DataFrame, keys: Sequence[str], sample: str) -> DataFrame:
+def mask_conf_curve(gt: DataFrame, instances: DataFrame, keys: Sequence[str], sample: str, roi: DataFrame | None = None, category: str = "category") -> DataFrame:
     """Mean IoU of the kept instances against the ground truth at every grid confidence.
 
     Per image the IoU changes only at its own confidences: stretches are summed per confidence, suffix sums over
     those few values give the step function, and each step is spread over the grid points it spans. Grid points
-    above an image's top confidence have IoU 0, so they only count in the denominator.
+    above an image's top confidence have IoU 0, so they only count in the denominator. With an ``roi`` both masks are cut to it first;
+    an image whose ground truth lies outside stays in the mean with IoU 0. ``instances`` are runs that may overlap, ``gt`` disjoint ones.
     """
     ids, grid = [*keys, sample], F.array(*[F.lit(g) for g in conf_grid()])
+    listed = gt.select(*ids).distinct()
+    if roi is not None:
+        gt, instances = roi_clip(gt, roi, category), roi_clip(instances, roi, category)
     area = gt.groupBy(*ids).agg(F.sum(length()).alias("area"))
     best = confidence_map(instances.join(area.select(*ids), ids, "left_semi"), ids)
     # Cut the confidence map by the ground truth: disjoint runs of both on one row, swept with confidence carried along.
@@ -233,7 +237,7 @@ def mask_conf_curve(gt: DataFrame, instances: DataFrame, keys: Sequence[str], sa
     points = F.filter(grid, lambda g: (g <= F.col("conf")) & (F.col("lower").isNull() | (g > F.col("lower"))))
     sums = curve.withColumn("iou", iou).select(*keys, "iou", F.explode(points).alias("conf")).groupBy(*keys, "conf").agg(
         F.sum("iou").alias("iou_sum"))
-    images = area.groupBy(*keys).agg(F.count(F.lit(1)).alias("images")).withColumn("conf", F.explode(grid))
+    images = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("images")).withColumn("conf", F.explode(grid))
     return images.join(sums, [*keys, "conf"], "left").select(
         *keys, "conf", (F.coalesce("iou_sum", F.lit(0.0)) / F.col("images")).alias("mean_iou"))
 

@@ -210,7 +210,7 @@ def _(t):
     """Rows whose counts came from an older metric version must be recomputed before they are compared."""
     mixed = rows(t).withColumn("metric_version", F.when(F.col("sample_id") % 7 == 0, "tolerant_agreement_r5_chebyshev_v1").otherwise(F.lit(METRIC_VERSION)))
     valid = mixed.filter("gt_status = 'valid'")
-    return valid.groupBy("category").agg(F.count(F.lit(1)).alias("valid_rows"), F.count_if(g.legacy_counts()).alias("legacy_rows")).withColumn(
+    return valid.groupBy("category").agg(F.count(F.lit(1)).alias("valid_rows"), F.count_if(m.legacy_counts()).alias("legacy_rows")).withColumn(
         "refused", F.col("legacy_rows") > 0)
 
 

@@ -8,10 +8,11 @@ from loupeline.operators import gate as g
 from loupeline.operators import lifecycle as l
 from loupeline.operators import runs as u
 from loupeline.operators.calibration import recalibration_due
+from loupeline.operators.frame_store import FrameStore, table_identity
 from loupeline.operators.ordering import fill_forward
 from loupeline.plans import gate as pg
 from loupeline.plans.registry import query
-from loupeline.session import sized, written
+from loupeline.session import shared_dir, sized, written
 from loupeline.sources import bindings as b
 
 KEYS = ["category", "batch_no"]
@@ -176,9 +177,9 @@ def window_sql(layer):
   WHERE r.batch_no <= d.verdict_batch)"""
 
 
-MODELS = f"""{pg.PAIRS}, {NG_CTES},
-trained AS (SELECT category, milestone, batch_no AS start_batch, concat(category, '-seg-v', milestone, '-', substr(sha256(concat_ws(':', category, milestone)), 1, 12)) AS version
-  FROM mile WHERE milestone IS NOT NULL),
+TRAINED = """trained AS (SELECT category, milestone, batch_no AS start_batch, concat(category, '-seg-v', milestone, '-', substr(sha256(concat_ws(':', category, milestone)), 1, 12)) AS version
+  FROM mile WHERE milestone IS NOT NULL)"""
+MODELS = f"""{pg.PAIRS}, {NG_CTES}, {TRAINED},
 under AS (SELECT x.category, x.batch_no, (SELECT arg_max(version, start_batch) FROM trained y WHERE y.category = x.category AND y.start_batch < x.batch_no) AS version
   FROM (SELECT DISTINCT category, batch_no FROM dec) x),
 wb AS (SELECT u.category, u.version, u.batch_no, count(r.sample_id) FILTER (r.label = 'NG' AND r.gt_status = 'valid') AS ng FROM under u
@@ -222,9 +223,15 @@ def shadow_verdicts(t, candidates, pixel_counts=None):
 
 
 def judged(t, pixel_counts=None):
-    """Candidates with their verdicts (batch and decision), and the verdicts in full."""
-    candidates = written(trained(t), "candidates")
-    verdicts = shadow_verdicts(t, candidates, pixel_counts)
+    """Candidates with their verdicts (batch and decision), and the verdicts in full.
+
+    The gate is the dearest step of the lifecycle and several queries ask for its verdicts, so they are kept for the application, by the identity
+    of the files they are made from.
+    """
+    store = FrameStore(t.spark, f"{shared_dir(t.spark)}/loupeline/{t.spark.sparkContext.applicationId}/gate")
+    identity = ":".join([str(SHADOW_MIN_NG), str(SHADOW_MAX_BATCHES), *(table_identity(table) for table in (t.orders, t.lineitem))])
+    candidates = store.get("candidates", identity, lambda: trained(t))
+    verdicts = store.get("verdicts", identity, lambda: shadow_verdicts(t, candidates, pixel_counts))
     return candidates.join(verdicts.select("category", "version", "verdict_batch", "decision"), ["category", "version"], "left"), verdicts
 
 
@@ -268,11 +275,11 @@ def _(t):
     return in_force(t)
 
 
-@query("history_events", f"""WITH {MODELS}, fl AS (SELECT category, batch_no, labeled_ng, floor(labeled_ng / 5.0::DOUBLE) > floor(coalesce(lag(labeled_ng) OVER (PARTITION BY category ORDER BY batch_no), 0) / 5.0::DOUBLE) AS due FROM rn),
+@query("history_events", f"""WITH {MODELS}, tm AS (SELECT category, batch_no, concat(strftime(max(created_at)::TIMESTAMP, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00') AS at FROM dec GROUP BY 1, 2), fl AS (SELECT category, batch_no, labeled_ng, floor(labeled_ng / 5.0::DOUBLE) > floor(coalesce(lag(labeled_ng) OVER (PARTITION BY category ORDER BY batch_no), 0) / 5.0::DOUBLE) AS due FROM rn),
 tr AS (SELECT category, min(verdict_batch) AS since FROM mds WHERE status = 'promoted' GROUP BY 1)
-SELECT category, batch_no, 'pretrained_recalibrated' AS event, CAST(labeled_ng AS VARCHAR) AS detail FROM fl LEFT JOIN tr USING (category) WHERE due AND (since IS NULL OR batch_no <= since) UNION ALL
+SELECT tm.at, ev.* FROM (SELECT category, batch_no, 'pretrained_recalibrated' AS event, CAST(labeled_ng AS VARCHAR) AS detail FROM fl LEFT JOIN tr USING (category) WHERE due AND (since IS NULL OR batch_no <= since) UNION ALL
 SELECT category, start_batch, 'candidate_trained', version FROM mds UNION ALL SELECT category, verdict_batch, 'promoted', version FROM mds WHERE status = 'promoted' UNION ALL
-SELECT category, verdict_batch, 'rejected_shadow', version FROM mds WHERE status = 'rejected_shadow' UNION ALL SELECT category, next_start, 'superseded', version FROM mds WHERE status = 'superseded'""")
+SELECT category, verdict_batch, 'rejected_shadow', version FROM mds WHERE status = 'rejected_shadow' UNION ALL SELECT category, next_start, 'superseded', version FROM mds WHERE status = 'superseded') ev LEFT JOIN tm USING (category, batch_no)""")
 def _(t):
     status = l.superseded(models(t))
     # once a trained model serves, the pretrained one is not calibrated any more
@@ -283,7 +290,8 @@ def _(t):
     def at(batch, condition):
         return status.filter(condition).select("category", F.col(batch).alias("batch_no"), F.col("version").alias("detail"))
 
-    return l.history_events(pretrained_recalibrated=recalibrated, candidate_trained=at("start_batch", "true"),
+    ends = b.decisions(t).groupBy(*KEYS).agg(F.max("created_at").alias("at"))
+    return l.history_events(ends, pretrained_recalibrated=recalibrated, candidate_trained=at("start_batch", "true"),
                             promoted=at("verdict_batch", "status = 'promoted'"), rejected_shadow=at("verdict_batch", "status = 'rejected_shadow'"),
                             superseded=at("next_start", "status = 'superseded'"))
 
@@ -364,15 +372,17 @@ snap AS (SELECT category, batch_no, CAST(sum(a) OVER w AS BIGINT) AS eligible_tr
   CAST(sum(n) OVER w AS BIGINT) AS confirmed_valid_ng, CAST(sum(x) OVER w AS BIGINT) AS excluded_training_ng_outside_roi FROM sb WINDOW w AS (PARTITION BY category ORDER BY batch_no))"""
 
 
-def snapshots(t):
+def snapshots(t, models=None):
     seen = u.roi_clip(b.gt_runs(t), b.roi_runs(t)).select("sample_id").distinct().withColumn("in_roi", F.lit(True))
     rows = b.decisions(t).filter("label_source IS NOT NULL AND label_source <> 'model_assumed_review'").join(seen, "sample_id", "left")
     return l.batch_snapshot(rows.withColumns({
         "sha256": F.sha2(F.col("sample_id").cast("string"), 256), "in_roi": F.coalesce("in_roi", F.lit(False)),
         "reviewed_decision": F.when(F.col("label_source") == "sampling_pseudo_ok", "OK").otherwise(F.col("truth")),
-        "in_calibration": F.col("sample_id") % 17 == 0, "stored_split": F.lit(None).cast("string")}))
+        "in_calibration": F.col("sample_id") % 17 == 0, "stored_split": F.lit(None).cast("string")}), trained=models)
 
 
-@query("batch_snapshot", f"WITH {SNAP} SELECT * FROM snap")
+@query("batch_snapshot", f"""WITH {SNAP}, {NG_CTES}, {TRAINED}
+SELECT snap.*, (SELECT arg_max(version, milestone) FROM trained y WHERE y.category = snap.category AND y.start_batch <= snap.batch_no) AS latest_model,
+  (SELECT max(milestone) FROM trained y WHERE y.category = snap.category AND y.start_batch <= snap.batch_no) AS latest_milestone FROM snap""")
 def _(t):
-    return snapshots(t)
+    return snapshots(t, trained(t))

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loupeline.operators import large_images as li
 from loupeline.operators import regions as rg
 from loupeline.operators import runs as u
 from loupeline.operators.calibration import mask_conf_threshold
@@ -156,10 +157,10 @@ def _(t):
 
 
 CONF_PIX = """cm AS (SELECT sample_id, category, y, x, max(conf) AS conf FROM (SELECT sample_id, category, conf, x0, x1,
-    unnest(generate_series(y0, y1)) AS y FROM ins) r, generate_series(r.x0, r.x1) AS g(x) GROUP BY ALL)"""
+    unnest(generate_series(y0, y1)) AS y FROM {source}) r, generate_series(r.x0, r.x1) AS g(x) GROUP BY ALL)"""
 
 
-@query("confidence_map", f"""WITH {RECTS}, {CONF_PIX} SELECT sample_id, CAST(y AS BIGINT) AS y, count(*) AS pixels, max(conf) AS top_conf,
+@query("confidence_map", f"""WITH {RECTS}, {CONF_PIX.format(source='ins')} SELECT sample_id, CAST(y AS BIGINT) AS y, count(*) AS pixels, max(conf) AS top_conf,
   CAST(sum(round(conf * 1000)) AS BIGINT) AS conf_milli FROM cm GROUP BY 1, 2""")
 def _(t):
     stretches = u.confidence_map(b.instance_runs(t), ID)
@@ -212,6 +213,14 @@ def _(t):
     return boxes.select("sample_id", "label", "area", *[F.col(c).cast("bigint").alias(c) for c in ("bx0", "by0", "bx1", "by1")])
 
 
+@query("connected_components_tiled", f"""WITH RECURSIVE {b.INSTANCES}, {COMPONENTS.format(source="ins WHERE conf >= 0.5::DOUBLE")}
+SELECT sample_id, label, area, bx0, by0, bx1, by1 FROM lab""")
+def _(t):
+    """The same labels from tiles of 16 by 16 pixels whose borders are joined: 24 tiles an image here."""
+    boxes = rg.region_boxes(li.connected_components_tiled(kept(t), "sample_id", 16, 16), "sample_id")
+    return boxes.select("sample_id", "label", "area", *[F.col(c).cast("bigint").alias(c) for c in ("bx0", "by0", "bx1", "by1")])
+
+
 @query("component_boxes", f"""WITH RECURSIVE {b.GT_RECTS}, {COMPONENTS.format(source="gtr")}
 SELECT sample_id, label, least(bx0 / {W - 1}.0::DOUBLE, 1) AS "left", least(by0 / {H - 1}.0::DOUBLE, 1) AS top,
   least(bx1 / {W - 1}.0::DOUBLE, 1) AS "right", least(by1 / {H - 1}.0::DOUBLE, 1) AS bottom FROM lab""")
@@ -289,16 +298,16 @@ def _(t):
 
 
 GRID = "grid(g) AS (SELECT unnest([0.001, 0.002, 0.005, 0.995, 0.999])::DOUBLE UNION ALL SELECT i / 100.0::DOUBLE FROM generate_series(1, 99) AS s(i))"
-CURVE = f"""{b.GT_RECTS}, {b.INSTANCES}, {CONF_PIX}, {b.pixels_sql('gtr', 'gp')}, {GRID},
-ar AS (SELECT sample_id, category, count(*) AS a FROM gp GROUP BY 1, 2),
+CURVE = f"""{b.GT_RECTS}, {b.INSTANCES}, {b.ROI}, {b.clipped_sql('gtr', 'cg')}, {b.clipped_sql('ins', 'cins')}, {CONF_PIX.format(source='cins')}, {b.pixels_sql('cg', 'gp')}, {GRID},
+ar AS (SELECT n.sample_id, n.category, count(gp.x) AS a FROM (SELECT DISTINCT sample_id, category FROM gtr) n LEFT JOIN gp USING (sample_id) GROUP BY 1, 2),
 cf AS (SELECT cm.sample_id, conf, count(*) AS n, count(gp.x) AS h FROM cm JOIN ar USING (sample_id) LEFT JOIN gp ON gp.sample_id = cm.sample_id AND gp.y = cm.y AND gp.x = cm.x GROUP BY 1, 2),
-pt AS (SELECT ar.category, g, ar.sample_id, coalesce(sum(h), 0)::DOUBLE / (max(a) + coalesce(sum(n), 0) - coalesce(sum(h), 0)) AS iou
+pt AS (SELECT ar.category, g, ar.sample_id, coalesce(coalesce(sum(h), 0)::DOUBLE / nullif(max(a) + coalesce(sum(n), 0) - coalesce(sum(h), 0), 0), 0) AS iou
   FROM ar CROSS JOIN grid LEFT JOIN cf ON cf.sample_id = ar.sample_id AND cf.conf >= g GROUP BY 1, 2, 3),
 curve AS (SELECT category, g AS conf, avg(iou) AS mean_iou FROM pt GROUP BY 1, 2)"""
 
 
 def curve(t):
-    return u.mask_conf_curve(u.merge_runs(b.gt_runs(t), ["category", "sample_id"]), b.instance_runs(t), ["category"], "sample_id")
+    return u.mask_conf_curve(u.merge_runs(b.gt_runs(t), ["category", "sample_id"]), b.instance_runs(t), ["category"], "sample_id", b.roi_runs(t))
 
 
 @query("mask_conf_curve", f"WITH {CURVE} SELECT category, conf, round(mean_iou, 9) AS mean_iou FROM curve")

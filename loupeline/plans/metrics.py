@@ -98,10 +98,10 @@ def _(t):
         "category", F.round("mean_ms", 9).alias("mean_ms"), F.round("p95_ms", 9).alias("p95_ms"))
 
 
-@query("cohort_fingerprint", f"""WITH {b.CONTENTS}, s AS (SELECT category, count(*) AS members,
-    sum(CAST(concat('0x', substr(sha256, 1, 16)) AS HUGEINT)) s0, sum(CAST(concat('0x', substr(sha256, 17, 16)) AS HUGEINT)) s1,
-    sum(CAST(concat('0x', substr(sha256, 33, 16)) AS HUGEINT)) s2, sum(CAST(concat('0x', substr(sha256, 49, 16)) AS HUGEINT)) s3
-  FROM con GROUP BY 1)
-SELECT category, members, substr(sha256(concat_ws(':', members, s0, s1, s2, s3, 'fraction=0.25;seed=42')), 1, 12) AS fingerprint FROM s""")
+@query("cohort_fingerprint", f"""WITH {b.CONTENTS}, e AS (SELECT category, coalesce(sha256, '') AS name, count(*) AS n FROM con GROUP BY 1, 2),
+l4 AS (SELECT category, substr(name, 1, 4) AS name, sum(n) AS n, sha256(string_agg(concat(name, '=', n), ',' ORDER BY name)) AS d FROM e GROUP BY 1, 2),
+l2 AS (SELECT category, substr(name, 1, 2) AS name, sum(n) AS n, sha256(string_agg(concat(name, '=', d), ',' ORDER BY name)) AS d FROM l4 GROUP BY 1, 2),
+l0 AS (SELECT category, CAST(sum(n) AS BIGINT) AS members, sha256(string_agg(concat(name, '=', d), ',' ORDER BY name)) AS d FROM l2 GROUP BY 1)
+SELECT category, members, substr(sha256(concat_ws(':', members, d, 'fraction=0.25;seed=42')), 1, 12) AS fingerprint FROM l0""")
 def _(t):
     return m.cohort_fingerprint(b.contents(t), ["category"], "sha256", settings="fraction=0.25;seed=42")

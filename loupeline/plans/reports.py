@@ -10,6 +10,7 @@ from loupeline.operators import gate as g
 from loupeline.operators import lifecycle as l
 from loupeline.operators import metrics as m
 from loupeline.operators import reports as rp
+from loupeline.operators import regions as rg
 from loupeline.operators import review as r
 from loupeline.operators import runs as u
 from loupeline.operators import splits as s
@@ -18,6 +19,7 @@ from loupeline.plans import gate as pg
 from loupeline.plans import lifecycle as pl
 from loupeline.plans import masks as pm
 from loupeline.plans import splits as ps
+from loupeline.plans import validation as pv
 from loupeline.plans.calibration import FIRST_SQL
 from loupeline.plans.metrics import RATES
 from loupeline.plans.registry import SQL, query
@@ -250,6 +252,24 @@ def _(t):
         "sample_id", "category", "model_decision", "reviewed_decision", "mask_path", "reviewer")
 
 
+@query("folder_review", f"""WITH {pv.IMAGES}, {pv.FILES}, f AS (SELECT k, o_orderpriority, CASE WHEN k % 19 = 0 THEN replace(image, '/NG/', '/OK/') WHEN k % 41 = 0 THEN replace(image, '/NG/', '/new/') ELSE image END AS image
+    FROM img JOIN orders ON o_orderkey = k WHERE k % 43 <> 0),
+d AS (SELECT k, depth, count(DISTINCT mask) AS n, min(mask) AS mask FROM mk GROUP BY 1, 2), nr AS (SELECT k, min(depth) AS depth FROM mk GROUP BY 1), hit AS (SELECT d.* FROM d JOIN nr USING (k, depth)),
+x AS (SELECT o_orderkey AS sample_id, CASE WHEN o_orderkey % 17 = 0 THEN '5-LOW' ELSE o.o_orderpriority END AS category, f.k IS NOT NULL AS there, contains(image, '/OK/') AS ok, contains(image, '/NG/') AS ng, o.o_orderpriority AS folder, n, mask
+  FROM orders o LEFT JOIN f ON f.k = o_orderkey LEFT JOIN hit ON hit.k = o_orderkey),
+y AS (SELECT *, CASE WHEN NOT there THEN 'no_file' WHEN NOT ok AND NOT ng THEN 'no_label' WHEN folder <> category THEN 'category_mismatch' WHEN ng AND n > 1 THEN 'ambiguous_masks' END AS error FROM x)
+SELECT sample_id, category, CASE WHEN error IS NULL THEN CASE WHEN ng THEN 'NG' ELSE 'OK' END END AS reviewed_decision, CASE WHEN error IS NULL AND ng THEN mask END AS mask_path, error FROM y""")
+def _(t):
+    """Truth, category and mask of every sample from one folder tree, some files missing, misplaced or with two masks."""
+    n, paths = F.col("k"), pv.image_paths(t)
+    moved = F.when(n % 19 == 0, F.replace("image", F.lit("/NG/"), F.lit("/OK/"))).when(n % 41 == 0, F.replace("image", F.lit("/NG/"), F.lit("/new/"))).otherwise(F.col("image"))
+    files = paths.filter(n % 43 != 0).select(n.alias("sample_id"), moved.alias("path"))
+    samples = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderkey") % 17 == 0, "5-LOW").otherwise(F.col("o_orderpriority")).alias("category"), F.lit("OK").alias("decision"))
+    aliases = t.orders.select(F.col("o_orderpriority").alias("category"), F.col("o_orderpriority").alias("alias")).distinct()
+    return folder_truth_review(samples, files, pv.mask_paths(t).select(F.replace("mask", F.lit(".BMP"), F.lit(".bmp")).alias("mask")), aliases).select(
+        "sample_id", "category", "reviewed_decision", F.replace("mask_path", F.lit(".bmp"), F.lit(".BMP")).alias("mask_path"), "error")
+
+
 @query("export_training_manifest", f"""WITH {ps.ROLE_PLAN}, st AS (SELECT sample_id, category, sha256, truth FROM con)
 SELECT 'train' AS split, 'real_ng' AS role, sample_id, category, sha256, sha256(concat('mask', sample_id)) AS mask_sha256, sample_id % 17 = 0 AS excluded_outside_roi FROM st WHERE truth = 'NG' UNION ALL
 SELECT 'train', 'real_ok', sample_id, category, sha256, NULL, false FROM reserved WHERE role = 'bank' UNION ALL SELECT 'val', 'real_ok', sample_id, category, sha256, NULL, false FROM reserved WHERE role = 'calibration' UNION ALL
@@ -266,6 +286,31 @@ def _(t):
     return t.spark.read.schema(manifest.schema).parquet(path)
 
 
+CORNERS = " ".join(f"%.6f" for _ in range(8))
+
+
+@query("training_labels", f"""WITH RECURSIVE {b.GT_RECTS}, {b.INSTANCES}, {b.ROI}, {b.clipped_sql('gtr', 'cg')},
+gen AS (SELECT ins.* FROM ins JOIN orders ON o_orderkey = sample_id WHERE o_orderstatus <> 'F' AND conf >= 0.9::DOUBLE),
+every AS (SELECT sample_id, x0, y0, x1, y1 FROM cg UNION ALL SELECT sample_id, x0, y0, x1, y1 FROM gen), {pm.COMPONENTS.format(source="every")},
+ed AS (SELECT sample_id, label, least(bx0 / {pm.W - 1}.0::DOUBLE, 1) AS l, least(by0 / {pm.H - 1}.0::DOUBLE, 1) AS t, least(bx1 / {pm.W - 1}.0::DOUBLE, 1) AS r, least(by1 / {pm.H - 1}.0::DOUBLE, 1) AS bt FROM lab),
+lt AS (SELECT sample_id, string_agg(concat('0 ', printf('{CORNERS}', l, t, r, t, r, bt, l, bt)), chr(10) ORDER BY label) AS labels FROM ed GROUP BY 1)
+SELECT 'train' AS split, 'real_ng' AS role, o_orderkey AS sample_id, o_orderpriority AS category, labels, labels IS NULL AS excluded_outside_roi FROM orders LEFT JOIN lt ON sample_id = o_orderkey WHERE o_orderstatus = 'F' UNION ALL
+SELECT 'train', 'synthetic_ng', sample_id, category, labels, false FROM (SELECT DISTINCT sample_id, category FROM gen) JOIN lt USING (sample_id) UNION ALL
+SELECT 'val', 'real_ok', o_orderkey, o_orderpriority, NULL, false FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 4 = 0""")
+def _(t):
+    """Samples of a training set with the text of their label files: real defects cut to the ROI, generated ones, and images without any."""
+    orders = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderpriority").alias("category"), (F.col("o_orderstatus") == "F").alias("ng"))
+    real = u.roi_clip(b.gt_runs(t), b.roi_runs(t)).select("sample_id", *u.RUN)
+    drawn = b.instance_runs(t).filter(F.col("conf") >= 0.9).join(orders.filter("not ng").select("sample_id"), "sample_id").select("sample_id", "category", *u.RUN)
+    boxes = rg.component_boxes(rg.connected_components(real.unionByName(drawn.select("sample_id", *u.RUN)), "sample_id"), "sample_id", pm.H, pm.W)
+    labels = written(rg.label_text(boxes, "sample_id"), "label-texts")
+    inside = F.lit(False).alias("excluded_outside_roi")
+    ng = orders.filter("ng").join(labels, "sample_id", "left").select("sample_id", "category", F.lit("train").alias("split"), "labels", F.col("labels").isNull().alias("excluded_outside_roi"))
+    made = drawn.select("sample_id", "category").distinct().join(labels, "sample_id").select("sample_id", "category", F.lit("train").alias("split"), "labels", inside)
+    ok = orders.filter("not ng and sample_id % 4 = 0").select("sample_id", "category", F.lit("val").alias("split"), F.lit(None).cast("string").alias("labels"), inside)
+    return rp.training_manifest(("sample_id", "category", "labels", "excluded_outside_roi"), real_ng=ng, synthetic_ng=made, real_ok=ok)
+
+
 @query("ablation_summary", f"""WITH {b.DECISIONS}, h AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sha256(concat_ws(':', '42', sample_id))) AS rank, count(*) OVER (PARTITION BY category) AS pool FROM dec WHERE truth = 'NG'),
 sz AS (SELECT DISTINCT category, n AS ng_count FROM (SELECT DISTINCT category, pool FROM h) c, (VALUES (40), (60), (70), (80)) v(n) WHERE n <= pool UNION SELECT DISTINCT category, pool FROM h),
 ngx AS (SELECT h.category, ng_count, score FROM h JOIN sz ON sz.category = h.category AND rank <= ng_count), okx AS (SELECT sz.category, ng_count, score FROM dec JOIN sz USING (category) WHERE truth = 'OK'),

@@ -11,9 +11,11 @@ from loupeline.plans import lifecycle as pl
 from loupeline.plans import vectors as pv
 from loupeline.plans.registry import query
 from loupeline.plans.review import ESCALATED, KEYS, plan
-from loupeline.session import scratch
+from loupeline.session import scratch, written
 from loupeline.sources import bindings as b
-from loupeline.streaming import counters, ingest
+from loupeline.streaming import counters, ingest, triggers
+from loupeline.streaming.key_store import KeyStore, ingest_bucketed
+
 
 def as_stream(t, rows, name, files_per_trigger=2):
     """``rows`` written in the partitions they have and read back as a stream, some files per micro-batch."""
@@ -47,13 +49,26 @@ def _(t):
     return t.spark.read.parquet(store).select("category", "sha256")
 
 
+@query("ingest_bucketed_store", f"WITH {b.ARRIVALS} SELECT category, sha256, count(*) AS arrivals FROM arr GROUP BY 1, 2")
+def _(t):
+    """Two streams into one store of bucketed keys, merged in between; joined back so that every accepted content shows once."""
+    rows = stream_arrivals(t)
+    store = KeyStore(t.spark, scratch(t.spark, "bucketed"), ", ".join(f"{n} {k}" for n, k in rows.dtypes))
+    for i, part in enumerate(("sample_id % 2 = 0", "true")):
+        stream = as_stream(t, rows.filter(part), f"arrivals-{i}", 4)
+        ingest_bucketed(stream, store, scratch(t.spark, f"bucketed-checkpoint-{i}"))
+        store.compact()
+    counted = rows.groupBy("category", "sha256").agg(F.count(F.lit(1)).alias("arrivals"))
+    return store.rows().join(counted, ["category", "sha256"]).select("category", "sha256", "arrivals")
+
+
 @query("ingest_two_checkpoints", f"""WITH {b.ARRIVALS} SELECT category, sha256, coalesce(min(sample_id) FILTER (batch_no <= 15), min(sample_id)) AS sample_id FROM arr GROUP BY 1, 2""")
 def _(t):
     """Two streams with checkpoints of their own feed one store: the second adds only what the first lacks."""
     store, arrivals = scratch(t.spark, "store"), b.arrivals(t)
     for i, part in enumerate(("batch_no <= 15", "true")):
-        rows = arrivals.filter(part).select("sample_id", "category", "sha256").coalesce(1)
-        ingest.ingest_against_store(as_stream(t, rows, f"arrivals-{i}"), store, scratch(t.spark, f"store-checkpoint-{i}"))
+        rows = arrivals.filter(part).select("sample_id", "category", "sha256")
+        ingest.ingest_against_store(as_stream(t, rows, f"arrivals-{i}", 1000), store, scratch(t.spark, f"store-checkpoint-{i}"))
     return t.spark.read.parquet(store).select("category", "sha256", "sample_id")
 
 
@@ -63,11 +78,11 @@ def _(t):
     return run_to_table(t, l.route_pools(as_stream(t, rows, "predictions")), "routed")
 
 
-@query("sink_event_log", f"WITH {b.ARRIVALS} SELECT 'sample_ingested' AS event, sample_id, category FROM arr")
+@query("sink_event_log", f"WITH {b.ARRIVALS} SELECT 'sample_ingested' AS event, concat(strftime(created_at::TIMESTAMP, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00') AS at, sample_id, category FROM arr")
 def _(t):
-    stream, log = as_stream(t, stream_arrivals(t), "arrivals"), scratch(t.spark, "events")
-    ingest.event_log(stream, log, scratch(t.spark, "events-checkpoint"), "sample_ingested", ["sample_id", "category"])
-    return t.spark.read.parquet(log).select("event", "sample_id", "category")
+    stream, log = as_stream(t, b.arrivals(t).select("sample_id", "category", "created_at"), "arrivals"), scratch(t.spark, "events")
+    ingest.event_log(stream, log, scratch(t.spark, "events-checkpoint"), "sample_ingested", ["sample_id", "category"], at="created_at")
+    return t.spark.read.parquet(log).select("event", "at", "sample_id", "category")
 
 
 @query("resume_exactly_once", f"WITH {b.ARRIVALS} SELECT sample_id, category FROM arr")
@@ -110,6 +125,61 @@ def _(t):
     return due.groupBy("model").agg(F.count(F.lit(1)).alias("verdicts"))
 
 
+PARTS = (2, 5)  # micro-batches that the same rows are dealt to
+
+
+def firings(t, rows, trigger, name):
+    """All firings of a trigger over ``rows`` (with ``part_2`` and ``part_5``), for both sizes of micro-batches.
+
+    Every micro-batch is a run of its own over one checkpoint, so the state is stored and read again between all of them.
+    """
+    out, kept = None, [c for c in rows.columns if not c.startswith("part_")]
+    stored = written(rows, f"{name}-rows")
+    with triggers.state_store(t.spark):
+        for n in PARTS:
+            inbox, sink, checkpoint = [scratch(t.spark, f"{name}-{what}") for what in ("inbox", "fired", "checkpoint")]
+            for part in range(n):
+                stored.filter(F.col(f"part_{n}") == part).select(*kept).write.mode("append").parquet(inbox)
+                stream = trigger(ingest.stream_files(t.spark, inbox, stored.select(*kept).schema, 1000))
+                ingest.run_available(stream.writeStream.format("parquet").option("path", sink), checkpoint)
+            fired = t.spark.read.schema(stream.schema).parquet(sink).withColumn("parts", F.lit(n).cast("bigint"))
+            out = fired if out is None else out.unionByName(fired)
+    return out
+
+
+def dealt(t):
+    """Verified decisions with the micro-batch they fall into, by review batch."""
+    rows = b.decisions(t).filter(NG_FLAG).select("category", "batch_no", (F.col("truth") == "NG").alias("ng"))
+    return rows.withColumns({f"part_{n}": F.floor((F.col("batch_no") + 12) * n / F.lit(28)).cast("int") for n in PARTS})
+
+
+DEALT = f"""{b.DECISIONS}, sizes(parts) AS (VALUES {", ".join(f"({n})" for n in PARTS)}),
+cnt AS (SELECT parts, category, CAST(floor((batch_no + 12) * parts / 28.0::DOUBLE) AS BIGINT) AS part, count(*) FILTER (truth = 'NG') AS ng FROM dec, sizes WHERE {NG_FLAG} GROUP BY ALL),
+run AS (SELECT parts, category, part, CAST(sum(ng) OVER (PARTITION BY parts, category ORDER BY part) AS BIGINT) AS total FROM cnt)"""
+FIRED = """fired AS (SELECT * FROM (SELECT *, coalesce(max(level) OVER (PARTITION BY parts, category ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {start}) AS before FROM lev) WHERE level > before)
+SELECT parts::BIGINT AS parts, category, total, level, row_number() OVER (PARTITION BY parts, category ORDER BY part) AS firing FROM fired"""
+
+
+@query("milestone_firings", f"""WITH {DEALT}, ms AS (SELECT 40 + 20 * i AS m FROM generate_series(0, 3) AS g(i) UNION ALL SELECT 100 + 40 * i FROM generate_series(0, 200000) AS g(i)),
+lev AS (SELECT run.*, coalesce((SELECT max(m) FROM ms WHERE m <= total), 0) AS level FROM run), {FIRED.format(start=0)}""")
+def _(t):
+    rows = dealt(t).withColumnRenamed("ng", "labeled_ng").drop("batch_no")
+    return firings(t, rows, triggers.milestone_firings, "milestones")
+
+
+@query("recalibration_firings", f"WITH {DEALT}, lev AS (SELECT *, total // 5 AS level FROM run), {FIRED.format(start=-1)}")
+def _(t):
+    rows = dealt(t).withColumnRenamed("ng", "labeled_ng").drop("batch_no")
+    return firings(t, rows, triggers.recalibration_firings, "recalibrations")
+
+
+@query("shadow_firings", f"""WITH {DEALT}, e AS (SELECT *, row_number() OVER (PARTITION BY parts, category ORDER BY part) AS batches FROM run)
+SELECT parts::BIGINT AS parts, category AS model, min(total) AS shadow_ng, min(batches) AS shadow_batches FROM e WHERE total >= 150 OR batches >= 4 GROUP BY 1, 2""")
+def _(t):
+    rows = dealt(t).withColumnsRenamed({"ng": "valid_ng", "category": "model"}).drop("batch_no")
+    return firings(t, rows, lambda source: triggers.shadow_firings(source, min_ng=150, max_batches=4), "shadows")
+
+
 @query("score_with", f"""WITH {pv.PARTS} SELECT q.vec_id, round(min(list_distance(q.e, b.e)), 6) AS score FROM r q CROSS JOIN r b WHERE q.role = 'query' AND b.role = 'bank' GROUP BY 1""")
 def _(t):
     scored = scoring.score_against_bank(pv.role(t, "query"), pv.role(t, "bank"))

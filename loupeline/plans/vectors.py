@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loupeline.operators import vectors as v
+from loupeline.operators.frame_store import FrameStore
 from loupeline.plans.registry import query
+from loupeline.session import scratch
 
 DIM = 64
 VEC = "v AS (SELECT vec_id, CAST(label AS BIGINT) AS category, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
@@ -30,7 +32,7 @@ def _(t):
 @query("nearest_bank_blocked", f"""WITH {PARTS} SELECT q.vec_id, q.category, round(min(list_distance(q.e, b.e)), 6) AS distance
 FROM r q JOIN r b ON q.category = b.category AND q.role = 'query' AND b.role = 'bank' GROUP BY 1, 2""")
 def _(t):
-    hits = v.nearest_bank(role(t, "query"), role(t, "bank"), broadcast_bytes=0, block_rows=128)
+    hits = v.nearest_bank(role(t, "query"), role(t, "bank"), broadcast_bytes=0, block_rows=128, pivots=8)
     return hits.select("vec_id", "category", F.round("distance", 6).alias("distance"))
 
 
@@ -95,3 +97,24 @@ def _(t):
     parts = v.bank_build(vectors(t), 4, DIM)
     bank = parts["bank"].groupBy("category").agg(F.count(F.lit(1)).alias("bank"))
     return parts["content"].groupBy("category").agg(F.count(F.lit(1)).alias("content")).join(bank, "category")
+
+
+@query("score_reuse", f"""WITH {PARTS}, hit AS (SELECT q.vec_id, q.category, b.vec_id AS bank_id, list_distance(q.e, b.e) AS d FROM r q JOIN r b ON q.category = b.category AND q.role = 'query' AND b.role = 'bank'),
+one AS (SELECT vec_id, category, round(min(d), 6) AS first FROM hit GROUP BY 1, 2), two AS (SELECT vec_id, round(min(d), 6) AS second FROM hit WHERE category <> 1 OR bank_id % 10 <> 1 GROUP BY 1)
+SELECT vec_id, category, first, second, category = 1 AS recomputed FROM one LEFT JOIN two USING (vec_id)""")
+def _(t):
+    """Scores of all categories, then again after one category's bank has lost vectors: only that category is computed anew."""
+    store, queries, bank = FrameStore(t.spark, scratch(t.spark, "scores")), role(t, "query"), role(t, "bank")
+    first = v.stored_scores(store, queries, bank)
+    done = len(store.computed)
+    second = v.stored_scores(store, queries, bank.filter("category <> 1 or vec_id % 10 <> 1"))
+    anew = t.spark.createDataFrame([(int(group),) for _, group in store.computed[done:]], "category bigint").withColumn("recomputed", F.lit(True))
+    both = first.select("vec_id", "category", F.round("distance", 6).alias("first")).join(second.select("vec_id", F.round("distance", 6).alias("second")), "vec_id", "left")
+    return both.join(anew, "category", "left").select("vec_id", "category", "first", "second", F.coalesce("recomputed", F.lit(False)).alias("recomputed"))
+
+
+@query("coreset_radius", f"""WITH {VEC} SELECT category, count(*) AS members, CAST(ceil(count(*) * 0.02::DOUBLE) AS BIGINT) AS picks, true AS covered FROM v GROUP BY 1""")
+def _(t):
+    """Size of every coreset, and whether each vector is as near to a pick of its shard as the shard's stated radius says."""
+    picked = v.coreset_fraction(vectors(t), 0.02, with_radius=True)
+    return v.coreset_cover(vectors(t), picked).select("category", "members", "picks", "covered")
