@@ -150,11 +150,11 @@ def firings(t, rows, trigger, name):
 def dealt(t):
     """Verified decisions with the micro-batch they fall into, by review batch."""
     rows = b.decisions(t).filter(NG_FLAG).select("category", "batch_no", (F.col("truth") == "NG").alias("ng"))
-    return rows.withColumns({f"part_{n}": F.floor((F.col("batch_no") + 12) * n / F.lit(28)).cast("int") for n in PARTS})
+    return rows.withColumns({f"part_{n}": F.greatest(F.lit(0), F.least(F.lit(n - 1), F.floor(F.col("batch_no") * n / F.lit(28)).cast("int"))) for n in PARTS})
 
 
 DEALT = f"""{b.DECISIONS}, sizes(parts) AS (VALUES {", ".join(f"({n})" for n in PARTS)}),
-cnt AS (SELECT parts, category, CAST(floor((batch_no + 12) * parts / 28.0::DOUBLE) AS BIGINT) AS part, count(*) FILTER (truth = 'NG') AS ng FROM dec, sizes WHERE {NG_FLAG} GROUP BY ALL),
+cnt AS (SELECT parts, category, greatest(0, least(parts - 1, CAST(floor(batch_no * parts / 28.0::DOUBLE) AS BIGINT))) AS part, count(*) FILTER (truth = 'NG') AS ng FROM dec, sizes WHERE {NG_FLAG} GROUP BY ALL),
 run AS (SELECT parts, category, part, CAST(sum(ng) OVER (PARTITION BY parts, category ORDER BY part) AS BIGINT) AS total FROM cnt)"""
 FIRED = """fired AS (SELECT * FROM (SELECT *, coalesce(max(level) OVER (PARTITION BY parts, category ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {start}) AS before FROM lev) WHERE level > before)
 SELECT parts::BIGINT AS parts, category, total, level, row_number() OVER (PARTITION BY parts, category ORDER BY part) AS firing FROM fired"""
