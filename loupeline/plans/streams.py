@@ -1,6 +1,7 @@
 """Streaming queries (run to the end of what is available) and pluggable functions."""
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from loupeline.functions import scoring
@@ -186,10 +187,14 @@ def _(t):
     return scored.select("vec_id", F.round("score", 6).alias("score"))
 
 
-def text_predict(text):
-    """Small stand-in for a model: every non-empty line is a one-row defect, the score is their number."""
-    lines = [(y, line) for y, line in enumerate(text.split("\n")) if line]
-    return {"score": float(len(lines)), "mask": [(y, 0, len(line) - 1) for y, line in lines]}
+def text_predict(texts):
+    """Small stand-in for a model over a batch: every non-empty line is a one-row defect, the score is their number."""
+    lines = texts.str.split("\n").explode()
+    at = lines.groupby(level=0).cumcount()
+    kept = pd.DataFrame({"y": at, "end": lines.str.len() - 1})[lines.str.len() > 0]
+    masks = kept.groupby(level=0).apply(lambda f: [(int(y), 0, int(x)) for y, x in zip(f["y"], f["end"])]).reindex(texts.index)
+    masks = masks.map(lambda m: m if isinstance(m, list) else [])
+    return pd.DataFrame({"score": masks.map(len).astype(float), "mask": masks})
 
 
 @query("predict_fn", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
@@ -200,6 +205,28 @@ def _(t):
     return predicted.select("doc_id", "score", F.size("runs").cast("bigint").alias("mask_runs"), pixels.alias("mask_pixels"))
 
 
+def line_counter(config):
+    """A plugin as a user would write one: made by name inside every task."""
+    class Lines:
+        def predict(self, frame):
+            text = frame["text"].fillna("")
+            return pd.DataFrame({"score": text.str.count(config["mark"]).astype(float), "doc_id": frame["doc_id"]})
+
+        def healthcheck(self):
+            return {"ok": True}
+
+        def close(self):
+            pass
+
+    return Lines()
+
+
+@query("score_with_plugin", "SELECT doc_id, (length(coalesce(text, '')) - length(replace(coalesce(text, ''), '.', '')))::DOUBLE AS score FROM documents")
+def _(t):
+    """Every document scored by a plugin that is named, not passed."""
+    return scoring.score_with_plugin(t.documents.select("doc_id", "text"), "loupeline.plans.streams:line_counter", "doc_id bigint, score double", {"mark": r"\."})
+
+
 @query("review_provider", f"""WITH {b.DECISIONS} SELECT sample_id, official AS reviewed_decision, CASE WHEN official = 'NG' AND sample_id % 19 = 0 THEN 'mask_required' ELSE '' END AS violations FROM dec""")
 def _(t):
     mask = F.when(F.col("sample_id") % 19 != 0, F.concat(F.lit("mask/"), F.col("sample_id").cast("string")))
