@@ -9,7 +9,7 @@ Whatever makes the keys (segments of the sets, MinHash bands), two sets of a key
    whose ends are still in two classes. A node without a candidate has no link: no whole set is made for it.
 4. What this leaves open is settled exactly: keys of several blocks whose members are still in several classes, and keys with a pair that
    looked similar but was not. Their members with candidates are dealt to blocks again, a class of many members to blocks of its own, and every two
-   blocks meet unless both hold one and the same class. Such a task holds at most about ``2 * MEETING`` whole sets, compares members of
+   blocks meet unless both hold one and the same class. Such a task holds about ``2 * MEETING * ROOM`` hashes, compares members of
    different classes until they are joined, and sends on a forest.
 
 Joins whose small side grows with the corpus are asked to sort and merge, so that nothing is broadcast on its size of the day.
@@ -31,7 +31,8 @@ from loupeline.llm import common, signature_tree
 from loupeline.llm.components import components
 from loupeline.session import written
 
-BLOCK, MEETING = 256, 64
+BLOCK = 256
+MEETING, ROOM = 256, 1024  # sets of up to so many hashes in a block of a meeting; a larger set counts as several
 SEEN = 1 << 20
 LAST = (1 << 63) - 1
 
@@ -266,12 +267,13 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def _meetings(members: DataFrame, held: DataFrame, share: signature_tree.Share) -> DataFrame:
     """Links between members (key, node, label, size) of different labels, blocks of a key meeting two by two; ``held`` has their whole sets."""
     # Copies share many keys. Keys with the same members of small classes and the same large classes are one from here on.
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(node))").alias("nodes"))
+    weight = F.sum(F.ceil(F.greatest("size", F.lit(1)) / ROOM)).alias("n")
+    sizes = members.groupBy("key", "label").agg(weight, F.expr("bit_xor(xxhash64(node))").alias("nodes"))
     large = F.col("n") >= MEETING
     marks = sizes.groupBy("key").agg(F.bit_xor(F.when(~large, F.col("nodes"))).alias("x"), F.bit_xor(F.when(large, F.xxhash64("label"))).alias("y"))
     one = marks.select("key", F.xxhash64(F.coalesce("x", F.lit(0)), F.coalesce("y", F.lit(0))).alias("one"))
     members = written(members.join(one, "key").select(F.col("one").alias("key"), "node", "label", "size").distinct(), "open-members")
-    classes = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    classes = members.groupBy("key", "label").agg(weight)
     rest = classes.where(F.col("n") < MEETING).groupBy("key").agg(F.sum("n").alias("small"))
     places = written(classes.join(rest, "key", "left").select("key", "label", "n", F.coalesce("small", F.lit(0)).alias("small")), "open-classes")
     own = F.col("n") >= MEETING  # a class of many members has blocks of its own
