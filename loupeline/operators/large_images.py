@@ -75,7 +75,7 @@ def connected_components_tiled(runs: DataFrame, sample: str, height: int = 2048,
     A task holds one tile of ``height`` by ``width`` pixels. ``disjoint`` runs (they may touch) are labelled as they are, others merged first.
     """
     columns = [sample, "y", "x0", "x1"]
-    ready = runs.select(*columns) if disjoint else merge_runs(runs.select(*columns), [sample])
+    ready = runs.select(*columns) if disjoint else merge_runs(runs, [sample])
     cut = tiles(ready, height, width)
     placed = cut.select(F.struct(sample, "_ty", "_tx").alias("_tile"), "y", F.col("px0").alias("x0"), F.col("px1").alias("x1"), F.struct("x0", "x1").alias("_run"))
     named = placed.withColumn("_key", F.concat_ws(":", F.col(f"_tile.{sample}").cast("string"), "_tile._ty", "_tile._tx"))
