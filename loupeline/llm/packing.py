@@ -29,6 +29,9 @@ PLAIN = "\t-\r -~À-ÖØ-öø-ÿ"  # characters that normalisation leaves alone
 _OTHER = re.compile(f"[^{PLAIN}]|<\\|")
 _UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")  # the vocabulary's own pre-token rule on PLAIN
 
+SLICE_BYTES = 1 << 19  # text that is encoded at once
+LEARN_WORDS = 1 << 13  # new words that the tokenizer gets at once
+
 
 class WordTokens:
     """Token ids of whole texts for a vocabulary whose tokens never cross white space, with a memory of words.
@@ -51,7 +54,11 @@ class WordTokens:
         self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        """Remember words whose hashes, in rising order, are new."""
+        """Remember words whose hashes, in rising order, are new. A part at a time: an encoding holds its tokens and their places as objects."""
+        for at in range(0, len(words), LEARN_WORDS):
+            self._learn(hashes[at:at + LEARN_WORDS], words[at:at + LEARN_WORDS])
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         plain = np.array([_OTHER.search(word) is None for word in words])
         easy = [word for word, is_plain in zip(words, plain) if is_plain]
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(easy)], add_special_tokens=False)[0].ids, dtype=np.uint32)
@@ -106,7 +113,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_ids: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in common.slices(batch, "text", 2 << 20):
+            for part in common.slices(batch, "text", SLICE_BYTES):
                 ids, first = tokens(tokenizer).encode(common.raw(part.column("text")))
                 rows, bodies = [], []
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), first[:-1], first[1:]):
