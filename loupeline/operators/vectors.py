@@ -23,7 +23,7 @@ from loupeline.session import sized
 BROADCAST_BYTES = 64 * 1024 * 1024
 PIVOT_BYTES = 16 * 1024 * 1024
 BLOCK_ROWS = 65536  # vectors per block: large blocks keep the replication of a blocked join low
-SLAB_CELLS = 1 << 23  # distances held at once inside a task
+SLAB_CELLS = 1 << 20  # distances held at once inside a task, in several arrays of 8 MiB
 
 
 def _matrix(column: pd.Series, unit: bool = False) -> np.ndarray:
@@ -87,12 +87,12 @@ def nearest_bank(queries: DataFrame, bank: DataFrame, category: str = "category"
         return pd.concat(out[1:] or out, ignore_index=True)
 
     if rows * width * 8 <= broadcast_bytes:
-        shared = queries.sparkSession.sparkContext.broadcast(bank.toPandas())
+        # plain matrices travel, ready to search: every worker of an executor holds its own copy, and rows as objects would take several times as much
+        shared = queries.sparkSession.sparkContext.broadcast(stacked(bank.toPandas()))
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            banks = stacked(shared.value)
             for frame in batches:
-                yield match(frame, banks)
+                yield match(frame, shared.value)
 
         return queries.mapInPandas(scan, schema).select("vec_id", category, "bank_id", told)
 
